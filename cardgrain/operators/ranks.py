@@ -127,14 +127,14 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     h = n.withColumn("prob", F.explode(F.array(*[F.lit(float(q)) for q in probs])))
     h = h.withColumn("_h", (F.col("_n") - 1) * F.col("prob") + 1)
     h = h.withColumns({"_lo": F.floor("_h"), "_hi": F.ceil("_h")})
-    want = h.select(*group, "prob", "_h", "_lo", F.col("_lo").alias("_at")).unionByName(
-        h.select(*group, "prob", "_h", "_lo", F.col("_hi").alias("_at")))
-    cond = pos["_p"] == want["_at"]
+    renamed = [F.col(g).alias(f"_w_{g}") for g in group]
+    want = h.select(*renamed, "prob", "_h", "_lo", F.col("_lo").alias("_at")).unionByName(
+        h.select(*renamed, "prob", "_h", "_lo", F.col("_hi").alias("_at")))
+    cond = F.col("_p") == F.col("_at")
     for g in group:
-        cond = cond & pos[g].eqNullSafe(want[g])
-    hit = pos.join(want, cond, "inner").select(
-        *[want[g].alias(g) for g in group], want["prob"], want["_h"], want["_lo"],
-        want["_at"], pos[col].alias("_v"))
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_w_{g}"))
+    hit = pos.select(*group, "_p", F.col(col).alias("_v")).join(want, cond, "inner").select(
+        *[F.col(f"_w_{g}").alias(g) for g in group], "prob", "_h", "_lo", "_at", "_v")
     agg = hit.groupBy(*group, "prob", "_h", "_lo").agg(
         F.min_by("_v", "_at").alias("_vlo"), F.max_by("_v", "_at").alias("_vhi"))
     value = F.col("_vlo") + (F.col("_h") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))
