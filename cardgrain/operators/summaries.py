@@ -4,9 +4,19 @@ Each side is ONE ``groupBy("card_id").agg(...)`` with map-side partial
 aggregation: the six statistics, the distinct counts, the transaction count
 and span, and the category pivot counts as conditional counts. A card that
 holds a third of all rows is therefore reduced inside each map task before
-the shuffle. Exact distinct counts use ``count_distinct``; Spark plans them
-as a shuffle on ``(card, value)`` followed by a count, which also splits hot
-cards (``collect_set`` would gather a hot card's whole set in one task).
+the shuffle.
+
+Hot cards. Rows are first split by card size (:func:`split_hot`): a card
+with more than ``hot_rows`` rows is *hot*. The set of hot cards has at most
+``rows / hot_rows`` members, which bounds the broadcast used for the split.
+
+* Cold cards (the usual case, often all cards) count distinct values with
+  ``size(collect_set(x))``: one aggregate, no row expansion, and a per-card
+  set that can never exceed ``hot_rows`` values. The order distance uses two
+  windows over the card (bounded by ``hot_rows`` rows per group).
+* Hot cards use ``count_distinct``, which Spark plans as a shuffle on
+  ``(card, value)`` followed by a count -- a hot card is spread over many
+  tasks -- and range-partitioned row positions for the order distance.
 
 The one order-dependent feature, the order-permutation distance, is computed
 by :func:`order_distance` and joined at card grain.
@@ -20,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardgrain.functions.scalars import epoch_seconds, flag_dummy
-from cardgrain.functions.selectors import select_pattern, stat_grid, suffix_collisions
+from cardgrain.functions.selectors import select_pattern, stat_grid, suffix_collisions  # noqa: F401
 from cardgrain.operators.ranks import group_positions
 from cardgrain.sources.fixtures import ORDINAL
 
@@ -43,9 +53,10 @@ HIST_STAT_COLUMNS = ["purchase_amount", "month_lag", "installments", "authorized
 NEW_STAT_COLUMNS = HIST_STAT_COLUMNS + ["avg_purchases_lag3", "avg_purchases_lag6",
                                         "avg_purchases_lag12"]
 
-# A card with more rows than this takes the range-partitioned path in
-# order_distance instead of a window over the card.
-HOT_ROWS = 2_000_000
+# A card with more rows than this is "hot" (see module notes). It bounds the
+# per-card sets of the cold path (at most 200k values per column, a few MB)
+# and the rows a cold window holds in one task.
+HOT_ROWS = 200_000
 
 
 def hist_pivot_names(cat: str) -> list[str]:
@@ -88,25 +99,76 @@ def distinct_columns(df: DataFrame) -> list[str]:
     return select_pattern(df, starts_any=("merchant_", "category"))
 
 
-def distinct_exprs(df: DataFrame, exact: bool = True, rename=None) -> list[Column]:
-    rename = rename or (lambda n: n)
-    fn = F.count_distinct if exact else F.approx_count_distinct
-    return [fn(F.col(c)).alias(rename(c)) for c in distinct_columns(df)]
+def distinct_expr(c: str, exact: bool = True, hot: bool = False) -> Column:
+    """Distinct non-missing values of ``c`` in the group (see module notes)."""
+    if not exact:
+        return F.approx_count_distinct(F.col(c))
+    if hot:
+        return F.count_distinct(F.col(c))
+    return F.size(F.collect_set(F.col(c))).cast("bigint")
+
+
+def distinct_exprs(df: DataFrame, exact: bool = True, hot: bool = False) -> list[Column]:
+    return [distinct_expr(c, exact, hot).alias(c) for c in distinct_columns(df)]
+
+
+def split_hot(df: DataFrame, key: str = KEY, hot_rows: int = None):
+    """``(cold rows, hot rows or None)`` by the number of rows per key.
+
+    The hot keys are found with one partially aggregated count; when there
+    are none (checked with a bounded ``isEmpty``), the input is returned
+    untouched so the plan has no extra join.
+    """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > hot_rows).select(F.col(key).alias("_hot"))
+    if hot.isEmpty():
+        return df, None
+    # At most rows / hot_rows keys: a bounded broadcast.
+    hot_b = F.broadcast(hot)
+    cond = df[key].eqNullSafe(hot_b["_hot"])
+    return df.join(hot_b, cond, "left_anti"), df.join(hot_b, cond, "left_semi")
+
+
+def by_card_size(df: DataFrame, build, key: str = KEY, hot_rows: int = None) -> DataFrame:
+    """``build(rows, hot)`` on the cold rows and, if any, on the hot rows."""
+    cold, hot = split_hot(df, key, hot_rows)
+    out = build(cold, False)
+    if hot is not None:
+        out = out.unionByName(build(hot, True))
+    return out
 
 
-def distinct_counts(df: DataFrame, exact: bool = True, key: str = KEY) -> DataFrame:
+def distinct_counts(df: DataFrame, exact: bool = True, key: str = KEY,
+                    hot_rows: int = None) -> DataFrame:
     """Distinct non-missing values per card for the pattern-chosen columns."""
-    return df.groupBy(key).agg(*distinct_exprs(df, exact))
+    return by_card_size(df, lambda part, hot: part.groupBy(key).agg(
+        *distinct_exprs(df, exact, hot)), key, hot_rows)
 
 
 def with_dummy_flag(df: DataFrame) -> DataFrame:
     return df.withColumn("authorized_flag", flag_dummy("authorized_flag"))
 
 
+def stats_exprs(columns: Sequence[str], exact: bool = True, hot: bool = False) -> list[Column]:
+    """{sum, mean, min, max, sd, n_distinct} x columns, named <col>_<fn>."""
+    plain = {f"{c}_{fn}": e for c in columns
+             for fn, e in zip(("sum", "mean", "min", "max", "sd"),
+                              stat_grid([c], ("sum", "mean", "min", "max", "sd")))}
+    out = []
+    for fn in ("sum", "mean", "min", "max", "sd", "n_distinct"):
+        for c in columns:
+            name = f"{c}_{fn}"
+            out.append(distinct_expr(c, exact, hot).alias(name) if fn == "n_distinct"
+                       else plain[name])
+    return out
+
+
 def stats6(df: DataFrame, columns: Sequence[str], exact: bool = True,
-           key: str = KEY) -> DataFrame:
+           key: str = KEY, hot_rows: int = None) -> DataFrame:
     """{sum, mean, min, max, sd, n_distinct} x columns, named <col>_<fn>."""
-    return df.groupBy(key).agg(*stat_grid(columns, exact_distinct=exact))
+    return by_card_size(df, lambda part, hot: part.groupBy(key).agg(
+        *stats_exprs(columns, exact, hot)), key, hot_rows)
 
 
 def term_exprs(prefix: str = "") -> list[Column]:
@@ -143,17 +205,19 @@ def order_distance(df: DataFrame, name: str = "avg_term", key: str = KEY,
     hot cards has at most ``rows / hot_rows`` members, which bounds the
     broadcast used to split the input.
     """
+    return by_card_size(df.select(key, x, *order),
+                        lambda part, hot: order_distance_part(part, hot, name, key, order, x),
+                        key, hot_rows)
+
+
+def order_distance_part(part: DataFrame, hot: bool, name: str = "avg_term", key: str = KEY,
+                        order: Sequence[str] = tuple(ORDINAL), x: str = "purchase_date"
+                        ) -> DataFrame:
     order = list(order)
-    base = df.select(key, x, *order)
-    counts = base.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > hot_rows).select(F.col(key).alias("_hot"))
-    if hot.isEmpty():
-        return _order_distance_window(base, name, key, order, x)
-    hot_b = F.broadcast(hot)
-    cond = base[key].eqNullSafe(hot_b["_hot"])
-    cold = _order_distance_window(base.join(hot_b, cond, "left_anti"), name, key, order, x)
-    big = _order_distance_ranged(base.join(hot_b, cond, "left_semi"), name, key, order, x)
-    return cold.unionByName(big)
+    base = part.select(key, x, *order)
+    if hot:
+        return _order_distance_ranged(base, name, key, order, x)
+    return _order_distance_window(base, name, key, order, x)
 
 
 def _order_distance_window(base: DataFrame, name: str, key: str, order: list[str],
@@ -214,14 +278,17 @@ def merge_merchants(new: DataFrame, merchants: DataFrame, key: str = "merchant_i
 def hist_summary(hist: DataFrame, exact: bool = True, hot_rows: int = HOT_ROWS,
                  key: str = KEY) -> DataFrame:
     """Historical per-card summary: 24 stats, distinct counts, terms, pivots."""
-    aggs = distinct_exprs(hist, exact)
-    df = with_dummy_flag(hist)
-    aggs = (stat_grid(HIST_STAT_COLUMNS, exact_distinct=exact) + aggs + term_exprs("")
-            + [e for cat in CATEGORY_LEVELS for e in pivot_exprs(cat, hist_pivot_names(cat))])
-    fused = df.groupBy(key).agg(*aggs)
-    dist = order_distance(hist, "avg_term", key, hot_rows=hot_rows)
-    out = fused.join(dist, key, "left")
-    return _order_hist(out, hist)
+    dcols = distinct_columns(hist)
+
+    def build(part: DataFrame, hot: bool) -> DataFrame:
+        aggs = (stats_exprs(HIST_STAT_COLUMNS, exact, hot)
+                + [distinct_expr(c, exact, hot).alias(c) for c in dcols] + term_exprs("")
+                + [e for cat in CATEGORY_LEVELS for e in pivot_exprs(cat, hist_pivot_names(cat))])
+        fused = with_dummy_flag(part).groupBy(key).agg(*aggs)
+        dist = order_distance_part(part, hot, "avg_term", key)
+        return fused.join(dist, key, "left")
+
+    return _order_hist(by_card_size(hist, build, key, hot_rows), hist)
 
 
 def _order_hist(out: DataFrame, hist: DataFrame) -> DataFrame:
@@ -242,13 +309,17 @@ def new_summary(new: DataFrame, merchants: DataFrame, exact: bool = True,
     """
     merged = merge_merchants(new, merchants, null_keys_match=null_keys_match)
     dcols = distinct_columns(merged)
-    df = with_dummy_flag(merged)
-    fused = df.groupBy(key).agg(*stat_grid(NEW_STAT_COLUMNS, exact_distinct=exact),
-                                *distinct_exprs(merged, exact), *term_exprs("new_"))
+
+    def build(part: DataFrame, hot: bool) -> DataFrame:
+        fused = with_dummy_flag(part).groupBy(key).agg(
+            *stats_exprs(NEW_STAT_COLUMNS, exact, hot),
+            *[distinct_expr(c, exact, hot).alias(c) for c in dcols], *term_exprs("new_"))
+        dist = order_distance_part(part, hot, "new_avg_term", key)
+        return fused.join(dist, key, "left")
+
     pivots = new.groupBy(key).agg(
         *[e for cat in CATEGORY_LEVELS for e in pivot_exprs(cat, NEW_PIVOT_NAMES[cat])])
-    dist = order_distance(merged, "new_avg_term", key, hot_rows=hot_rows)
-    out = fused.join(dist, key, "left").join(pivots, key, "left")
+    out = by_card_size(merged, build, key, hot_rows).join(pivots, key, "left")
     stats = [f"{c}_{fn}" for fn in ("sum", "mean", "min", "max", "sd", "n_distinct")
              for c in NEW_STAT_COLUMNS]
     cols = ([key] + stats + dcols + ["new_no_trans", "new_pur_term", "new_avg_term"]
