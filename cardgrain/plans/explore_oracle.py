@@ -214,3 +214,19 @@ WHERE s.part = 'holdout' GROUP BY m.n_train, m.mean_train""", [("g", groups), ("
 
 
 _reg()
+
+
+def _reg_stream() -> None:
+    amount = ", ".join([
+        f"{r4('sum(purchase_amount)')} AS purchase_amount_sum",
+        f"{r4('avg(purchase_amount)')} AS purchase_amount_mean",
+        f"{r4('min(purchase_amount)')} AS purchase_amount_min",
+        f"{r4('max(purchase_amount)')} AS purchase_amount_max",
+        f"{r4('stddev_samp(purchase_amount)')} AS purchase_amount_sd"])
+    SQL["stream_term_hist"] = with_roles(["histdata"], f"""
+SELECT card_id, count(*) AS no_trans,
+ CAST(epoch(max(purchase_date)) - epoch(min(purchase_date)) AS BIGINT) AS pur_term, {amount}
+FROM histdata GROUP BY card_id""")
+
+
+_reg_stream()

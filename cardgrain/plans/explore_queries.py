@@ -243,3 +243,20 @@ def rmse_baseline(spark, d):
         F.lit(n_train).cast("bigint").alias("n_train"), F.lit(mean).alias("mean_train"),
         F.count(F.lit(1)).alias("n_holdout"),
         F.sqrt(F.avg(F.pow(F.col("target") - F.lit(mean), 2))).alias("rmse"))
+
+
+# --- streaming ----------------------------------------------------------------
+
+@query("stream_term_hist")
+def stream_term_hist(spark, d):
+    """Per-card count, span and amount statistics maintained by a Structured
+    Streaming query over the historical transactions landing as files."""
+    from cardgrain.streaming.card_stream import read_transaction_stream, run_to_table, term_stream
+
+    base = files.scratch_path(spark, "stream")
+    src = f"{base}/source"
+    # The stream source: the historical transactions, written as parquet files.
+    _r(spark, d, "histdata").repartition(4).write.parquet(src)
+    agg = term_stream(read_transaction_stream(spark, src, schemas.TRANSACTIONS, 2))
+    out = run_to_table(agg, f"{base}/table", f"{base}/checkpoint")
+    return spark.read.parquet(out)
