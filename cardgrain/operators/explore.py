@@ -35,12 +35,24 @@ def gather(df: DataFrame, ids: Sequence[str], values: Sequence[str] | None = Non
 def proportions(long: DataFrame, panel: Sequence[str], value: str = "value") -> DataFrame:
     """Share of each value in its panel (a missing value is a value).
 
-    The window runs over the already-aggregated counts (one row per distinct
-    value per panel), never over raw rows.
+    Both steps are partial aggregates: counts per (panel, value), then panel
+    totals from those counts, joined back on the panel (null-safe). No window
+    gathers a panel's values in one task.
     """
+    panel = list(panel)
     counts = long.groupBy(*panel, value).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(*panel)
-    return counts.withColumn("prop", F.col("n") / F.sum("n").over(w))
+    if not panel:
+        # One panel: its total is a single scalar.
+        total = counts.agg(F.sum("n")).first()[0] or 0
+        return counts.select(value, "n", (F.col("n") / F.lit(float(total))).alias("prop"))
+    totals = counts.groupBy(*panel).agg(F.sum("n").alias("_t"))
+    totals = totals.select(*[F.col(p).alias(f"_p_{p}") for p in panel], "_t")
+    cond = None
+    for p in panel:
+        c = counts[p].eqNullSafe(totals[f"_p_{p}"])
+        cond = c if cond is None else cond & c
+    out = counts.join(totals, cond, "inner")
+    return out.select(*panel, value, "n", (F.col("n") / F.col("_t")).alias("prop"))
 
 
 def card_feature_long(cards: DataFrame) -> DataFrame:

@@ -60,13 +60,21 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+# Up to this many rows, "first n" is a plain sort-limit (each partition keeps
+# its top n, one task merges them). Beyond it, row positions are computed by
+# range partitioning and filtered, so no task merges partitions x n rows.
+SMALL_LIMIT = 10_000
+
+
 def first_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows in source order (given by the ``order`` columns).
 
-    A bare ``limit`` over several files is not "first n"; the sort-limit
-    keeps at most ``n`` rows per partition before the final merge.
+    A bare ``limit`` over several files is not "first n".
     """
-    return df.orderBy(*order).limit(n)
+    if n <= SMALL_LIMIT:
+        return df.orderBy(*order).limit(n)
+    from cardgrain.operators.ranks import global_positions
+    return global_positions(df, order, "_pos").filter(F.col("_pos") <= n).drop("_pos")
 
 
 def write_bundle(tables: Mapping[str, DataFrame], path: str) -> str:
