@@ -32,10 +32,21 @@ def main() -> None:
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
     checkpoint_dir(spark)
     qs = queries()
-    # Warm the JVM (class loading, codegen caches) outside the timings.
-    qs["term_hist"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # Warm-up, not timed: every headline query once over the smallest tables,
+    # so the timings below measure steady-state execution rather than JIT
+    # compilation and class loading in a fresh JVM.
+    from cardgrain.sources import fixtures as fx
+    warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
+        fx.bundle(spark, warm_dir)
+        for name in names:
+            qs[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
+    # Load step: role views derived once and saved as a parquet bundle.
+    t0 = time.perf_counter()
+    fx.bundle(spark, sf_dir)
+    times["bundle_load"] = round(time.perf_counter() - t0, 3)
     for name in names:
         t0 = time.perf_counter()
         df = qs[name](spark, sf_dir)
@@ -43,7 +54,8 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf}))
+                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus,
+                      "warmup": os.path.basename(warm_dir)}))
     spark.stop()
 
 

@@ -37,7 +37,8 @@ def query(name: str, rounded: bool = True):
 
 
 def _r(spark, sf_dir, name):
-    return fx.role(spark, sf_dir, name)
+    """Role view ``name`` over ``sf_dir``, read from the saved bundle."""
+    return fx.stored(spark, sf_dir, name)
 
 
 # --- per-card blocks -------------------------------------------------------
