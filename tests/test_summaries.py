@@ -143,3 +143,16 @@ def test_hot_and_cold_paths_agree_on_fused_summaries(spark, sf_small):
         a, b = round_doubles(cold, 6), round_doubles(hot, 6)
         assert a.count() == b.count()
         assert a.exceptAll(b).count() == 0
+
+
+def test_one_card_with_a_third_of_rows(spark, sf_small):
+    """A card holding a third of all rows takes the hot path while the rest
+    stay cold; the mixed result equals the all-window result."""
+    h = fx.histdata(spark, sf_small).withColumn(
+        "card_id", F.when(F.col("l_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("card_id")))
+    n_hot = h.filter("card_id = 1").count()
+    assert n_hot > h.count() / 4
+    mixed = round_doubles(summ.hist_summary(h, hot_rows=n_hot - 1), 6)
+    plain = round_doubles(summ.hist_summary(h, hot_rows=10**9), 6)
+    assert mixed.count() == plain.count()
+    assert mixed.exceptAll(plain).count() == 0
