@@ -109,7 +109,7 @@ GROUP BY card_id""")
             f"SELECT '{c}' AS id, CAST({c} AS VARCHAR) AS value, purchase_amount FROM {side}data"
             for c in ("card_id", "merchant_id", "merchant_category_id"))
         SQL[f"top5_ids_{side}"] = with_roles([f"{side}data"], f"""
-SELECT id, value, {r4('purchase_amount')} AS purchase_amount, rank FROM (
+SELECT id, value, {r4('purchase_amount')} AS purchase_amount, CAST(rank AS INTEGER) AS rank FROM (
  SELECT *, row_number() OVER (PARTITION BY id ORDER BY purchase_amount DESC NULLS LAST,
    value ASC NULLS LAST) AS rank
  FROM (SELECT id, value, CASE WHEN count(purchase_amount) = count(*) THEN avg(purchase_amount) END
