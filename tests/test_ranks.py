@@ -42,3 +42,34 @@ def test_dense_rank_codes_and_average_ranks(spark):
     assert codes == [(10, 1), (10, 1), (20, 2), (30, 3)]
     avg = sorted((r.v, r.r) for r in ranks.average_ranks(df, "v", "r").collect())
     assert avg == [(10, 1.5), (10, 1.5), (20, 3.0), (30, 4.0)]
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(-50, 50)), min_size=1, max_size=60))
+def test_quantiles_match_numpy_linear(spark, rows):
+    import numpy as np
+    df = spark.createDataFrame(rows, "g int, x int").selectExpr("g", "cast(x as double) x")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {(r.g, r.prob): r.value
+           for r in ranks.exact_quantiles(df, "x", probs, ["g"], partitions=4).collect()}
+    for g in {r[0] for r in rows}:
+        xs = np.array(sorted(float(x) for gg, x in rows if gg == g))
+        for p in probs:
+            assert abs(got[(g, p)] - np.quantile(xs, p)) < 1e-9
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(0, 5), min_size=1, max_size=80))
+def test_positions_are_a_permutation_per_group(spark, keys):
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "g int, i int")
+    got = ranks.group_positions(df, ["g"], ["i"], "pos", partitions=5).collect()
+    by_g: dict[int, list[tuple[int, int]]] = {}
+    for r in got:
+        by_g.setdefault(r.g, []).append((r.i, r.pos))
+    for g, items in by_g.items():
+        items.sort()
+        assert [p for _, p in items] == list(range(1, len(items) + 1))
