@@ -230,3 +230,57 @@ def spearman_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def rmse(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return df.agg(F.sqrt(F.avg(F.pow(F.col(label) - F.col(prediction), 2))).alias("rmse"),
                   F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------------------
+# Local regression smoother on a month-grain series
+# ---------------------------------------------------------------------------
+
+def loess_fit(x: np.ndarray, y: np.ndarray, at: np.ndarray, span: float = 0.75,
+              degree: int = 2) -> np.ndarray:
+    """Local polynomial regression evaluated exactly at ``at``: for each
+    point, the ``span`` share of nearest observations, tricube weights,
+    weighted least squares of the given degree (no interpolation surface)."""
+    n = len(x)
+    q = max(int(np.floor(n * span)), degree + 1)
+    q = min(q, n)
+    out = np.empty(len(at))
+    for i, x0 in enumerate(at):
+        dist = np.abs(x - x0)
+        h = np.sort(dist)[q - 1]
+        if span > 1:  # all points used; the bandwidth grows with the span
+            h *= span
+        h = h if h > 0 else 1.0
+        u = np.clip(dist / h, 0, 1)
+        w = (1 - u ** 3) ** 3
+        X = np.vander(x - x0, degree + 1, increasing=True)
+        sw = np.sqrt(w)
+        coef, *_ = np.linalg.lstsq(X * sw[:, None], y * sw, rcond=None)
+        out[i] = coef[0]
+    return out
+
+
+def smooth_series(long: DataFrame, x: str = "first_active_month", y: str = "value",
+                  series: str = "feature", points: int = 80, span: float = 0.75) -> DataFrame:
+    """Smoothed curve per series on ``points`` equally spaced x values over
+    the series' date range (the trend line of a scatter of monthly values).
+
+    The input is at month grain, so each series has one row per calendar
+    month: a bounded group for one pandas call.
+    """
+    base = long.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
+        series, F.datediff(F.col(x), F.lit("1970-01-01").cast("date")).alias("_d"),
+        F.col(y).cast("double").alias("_y"))
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        xs = pdf["_d"].to_numpy(dtype=float)
+        ys = pdf["_y"].to_numpy(dtype=float)
+        grid = np.linspace(xs.min(), xs.max(), points)
+        fitted = loess_fit(xs, ys, grid, span) if len(xs) > 2 else np.full(points, ys.mean())
+        return pd.DataFrame({series: pdf[series].iloc[0], "point": np.arange(points, dtype=np.int32),
+                             "x_days": grid, "fit": fitted})
+
+    schema = f"{series} string, point int, x_days double, fit double"
+    out = base.groupBy(series).applyInPandas(fit, schema)
+    return out.withColumn(x, F.date_add(F.lit("1970-01-01").cast("date"),
+                                        F.floor("x_days").cast("int")))

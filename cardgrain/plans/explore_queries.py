@@ -187,6 +187,14 @@ def target_trend(spark, d):
     return X.month_trend(X.month_target(_r(spark, d, "train")))
 
 
+@query("target_smooth")
+def target_smooth(spark, d):
+    """Local quadratic regression (span 0.75) of the monthly target sum and
+    mean, on 80 points across the month range: the reference's trend line."""
+    return stats.smooth_series(X.gather(X.month_target(_r(spark, d, "train")),
+                                        ["first_active_month"], cast="double"))
+
+
 @query("target_summary")
 def target_summary(spark, d):
     return stats.six_number_summary(_r(spark, d, "train"), "target")

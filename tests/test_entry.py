@@ -8,7 +8,7 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 RAW = ("customer orders lineitem part supplier").split()
 ROWS_ONLY = {"model_gbt", "model_rf", "model_gbt_deep", "predict_test", "prediction_summary",
-             "rmse_models", "model_cv"}
+             "rmse_models", "model_cv", "target_smooth"}
 
 
 def test_entry_smoke(spark):

@@ -55,3 +55,24 @@ def test_split_sizes(spark, sf_small):
     assert s.select("card_id", "part").exceptAll(again.select("card_id", "part")).count() == 0
     other = split.stratified_split(t, "target", 0.8, 4, 1, 2)
     assert s.select("card_id", "part").exceptAll(other.select("card_id", "part")).count() > 0
+
+
+def test_loess_reproduces_quadratics_and_smooths_noise():
+    import numpy as np
+    x = np.arange(30, dtype=float)
+    y = 0.5 * x ** 2 - 3 * x + 2
+    grid = np.linspace(0, 29, 80)
+    fit = stats.loess_fit(x, y, grid)
+    assert np.allclose(fit, 0.5 * grid ** 2 - 3 * grid + 2, atol=1e-6)
+    rng = np.random.default_rng(0)
+    noisy = y + rng.normal(0, 5, size=30)
+    sm = stats.loess_fit(x, noisy, x)
+    assert np.abs(sm - y).mean() < np.abs(noisy - y).mean()
+
+
+def test_smooth_series_points(spark, sf_small):
+    t = fx.train(spark, sf_small)
+    long = X.gather(X.month_target(t), ["first_active_month"], cast="double")
+    out = stats.smooth_series(long)
+    assert out.count() == 160
+    assert out.filter(F.col("fit").isNull() | F.isnan("fit")).count() == 0
