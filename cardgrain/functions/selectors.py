@@ -51,21 +51,24 @@ def suffix_collisions(left: DataFrame, right: DataFrame, keys: Sequence[str],
 STATS6 = ("sum", "mean", "min", "max", "sd", "n_distinct")
 
 
-def stat_expr(fn: str, c: str, exact_distinct: bool = True) -> Column:
-    col = F.col(c)
-    if fn == "sum":
-        return F.sum(col)
-    if fn == "mean":
-        return F.avg(col)
-    if fn == "min":
-        return F.min(col)
-    if fn == "max":
-        return F.max(col)
-    if fn == "sd":
-        return F.stddev_samp(col)
-    if fn == "n_distinct":
-        return F.count_distinct(col) if exact_distinct else F.approx_count_distinct(col)
-    raise ValueError(fn)
+# SQL aggregate for each statistic (nulls skipped by all of them).
+_STAT_SQL = {"sum": "sum({})", "mean": "avg({})", "min": "min({})", "max": "max({})",
+             "sd": "stddev_samp({})", "n_distinct": "count(DISTINCT {})"}
+
+
+def quoted(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def stat_expr(fn: str, c: str, exact_distinct: bool = True, name: str | None = None) -> Column:
+    """One statistic of column ``c`` as a single SQL expression (one call to
+    the JVM per aggregate, which keeps wide plans quick to build)."""
+    if fn not in _STAT_SQL:
+        raise ValueError(fn)
+    sql = _STAT_SQL[fn].format(quoted(c))
+    if fn == "n_distinct" and not exact_distinct:
+        sql = f"approx_count_distinct({quoted(c)})"
+    return F.expr(f"{sql} AS {quoted(name)}" if name else sql)
 
 
 def stat_grid(columns: Sequence[str], fns: Sequence[str] = STATS6,
@@ -73,5 +76,5 @@ def stat_grid(columns: Sequence[str], fns: Sequence[str] = STATS6,
               rename: Callable[[str], str] | None = None) -> list[Column]:
     """Cross product ``fns x columns`` named ``<column>_<fn>``; nulls skipped."""
     rename = rename or (lambda n: n)
-    return [stat_expr(fn, c, exact_distinct).alias(rename(f"{c}_{fn}"))
+    return [stat_expr(fn, c, exact_distinct, rename(f"{c}_{fn}"))
             for fn in fns for c in columns]

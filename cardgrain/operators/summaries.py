@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardgrain.functions.scalars import epoch_seconds, flag_dummy
-from cardgrain.functions.selectors import select_pattern, stat_grid, suffix_collisions  # noqa: F401
+from cardgrain.functions.selectors import quoted, select_pattern, stat_expr, suffix_collisions
 from cardgrain.operators.ranks import group_positions
 from cardgrain.sources.fixtures import ORDINAL
 
@@ -90,7 +90,9 @@ def pivot_counts(tx: DataFrame, cat: str, names: Sequence[str] | None = None,
 
 def pivot_exprs(cat: str, names: Sequence[str]) -> list[Column]:
     """The pivot as conditional counts, for use inside a fused aggregate."""
-    return [F.nullif(F.count_if(F.col(cat) == F.lit(v)), F.lit(0)).alias(n)
+    def lit(v):
+        return f"'{v}'" if isinstance(v, str) else str(v)
+    return [F.expr(f"nullif(count_if({quoted(cat)} = {lit(v)}), 0) AS {quoted(n)}")
             for v, n in zip(CATEGORY_LEVELS[cat], names)]
 
 
@@ -102,10 +104,10 @@ def distinct_columns(df: DataFrame) -> list[str]:
 def distinct_expr(c: str, exact: bool = True, hot: bool = False) -> Column:
     """Distinct non-missing values of ``c`` in the group (see module notes)."""
     if not exact:
-        return F.approx_count_distinct(F.col(c))
+        return F.expr(f"approx_count_distinct({quoted(c)})")
     if hot:
-        return F.count_distinct(F.col(c))
-    return F.size(F.collect_set(F.col(c))).cast("bigint")
+        return F.expr(f"count(DISTINCT {quoted(c)})")
+    return F.expr(f"CAST(size(collect_set({quoted(c)})) AS BIGINT)")
 
 
 def distinct_exprs(df: DataFrame, exact: bool = True, hot: bool = False) -> list[Column]:
@@ -152,15 +154,12 @@ def with_dummy_flag(df: DataFrame) -> DataFrame:
 
 def stats_exprs(columns: Sequence[str], exact: bool = True, hot: bool = False) -> list[Column]:
     """{sum, mean, min, max, sd, n_distinct} x columns, named <col>_<fn>."""
-    plain = {f"{c}_{fn}": e for c in columns
-             for fn, e in zip(("sum", "mean", "min", "max", "sd"),
-                              stat_grid([c], ("sum", "mean", "min", "max", "sd")))}
     out = []
     for fn in ("sum", "mean", "min", "max", "sd", "n_distinct"):
         for c in columns:
             name = f"{c}_{fn}"
             out.append(distinct_expr(c, exact, hot).alias(name) if fn == "n_distinct"
-                       else plain[name])
+                       else stat_expr(fn, c, name=name))
     return out
 
 
