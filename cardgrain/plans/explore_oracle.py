@@ -230,3 +230,11 @@ FROM histdata GROUP BY card_id""")
 
 
 _reg_stream()
+
+
+def _reg_sink() -> None:
+    from cardgrain.plans.oracle import card_features_sql
+    SQL["sink_features_csv"] = card_features_sql("train", REF, True)
+
+
+_reg_sink()

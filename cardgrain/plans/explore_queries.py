@@ -54,6 +54,17 @@ def sink_roundtrip(spark, d):
     return out
 
 
+@query("sink_features_csv")
+def sink_features_csv(spark, d):
+    """The training feature table written as CSV with a header and read back
+    with its own schema (every Inf spelling accepted)."""
+    from cardgrain.plans.catalog import _features
+
+    feats = _features(spark, d, "train")
+    path = files.write_csv(feats, files.scratch_path(spark, "features-csv"))
+    return files.read_csv(spark, path, feats.schema)
+
+
 @query("profile_table")
 def profile_table(spark, d):
     """Shape and per-column missing count / min / max of the historical table."""
