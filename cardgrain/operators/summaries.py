@@ -114,17 +114,29 @@ def distinct_exprs(df: DataFrame, exact: bool = True, hot: bool = False) -> list
     return [distinct_expr(c, exact, hot).alias(c) for c in distinct_columns(df)]
 
 
-def split_hot(df: DataFrame, key: str = KEY, hot_rows: int = None):
+# Passed as ``hot_keys`` when the caller already knows no key is hot.
+NO_HOT = "no-hot-keys"
+
+
+def hot_key_table(df: DataFrame, key: str = KEY, hot_rows: int = None) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, as column ``_hot`` (lazy)."""
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > hot_rows).select(F.col(key).alias("_hot"))
+
+
+def split_hot(df: DataFrame, key: str = KEY, hot_rows: int = None, hot_keys=None):
     """``(cold rows, hot rows or None)`` by the number of rows per key.
 
     The hot keys are found with one partially aggregated count; when there
     are none (checked with a bounded ``isEmpty``), the input is returned
-    untouched so the plan has no extra join.
+    untouched so the plan has no extra join. A caller that probed already
+    passes ``hot_keys`` (a ``_hot`` table, or ``NO_HOT``).
     """
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > hot_rows).select(F.col(key).alias("_hot"))
-    if hot.isEmpty():
+    if isinstance(hot_keys, str) and hot_keys == NO_HOT:
+        return df, None
+    hot = hot_keys if hot_keys is not None else hot_key_table(df, key, hot_rows)
+    if hot_keys is None and hot.isEmpty():
         return df, None
     # At most rows / hot_rows keys: a bounded broadcast.
     hot_b = F.broadcast(hot)
@@ -132,9 +144,10 @@ def split_hot(df: DataFrame, key: str = KEY, hot_rows: int = None):
     return df.join(hot_b, cond, "left_anti"), df.join(hot_b, cond, "left_semi")
 
 
-def by_card_size(df: DataFrame, build, key: str = KEY, hot_rows: int = None) -> DataFrame:
+def by_card_size(df: DataFrame, build, key: str = KEY, hot_rows: int = None,
+                 hot_keys=None) -> DataFrame:
     """``build(rows, hot)`` on the cold rows and, if any, on the hot rows."""
-    cold, hot = split_hot(df, key, hot_rows)
+    cold, hot = split_hot(df, key, hot_rows, hot_keys)
     out = build(cold, False)
     if hot is not None:
         out = out.unionByName(build(hot, True))
@@ -275,7 +288,7 @@ def merge_merchants(new: DataFrame, merchants: DataFrame, key: str = "merchant_i
 # ---------------------------------------------------------------------------
 
 def hist_summary(hist: DataFrame, exact: bool = True, hot_rows: int = HOT_ROWS,
-                 key: str = KEY) -> DataFrame:
+                 key: str = KEY, hot_keys=None) -> DataFrame:
     """Historical per-card summary: 24 stats, distinct counts, terms, pivots."""
     dcols = distinct_columns(hist)
 
@@ -287,7 +300,7 @@ def hist_summary(hist: DataFrame, exact: bool = True, hot_rows: int = HOT_ROWS,
         dist = order_distance_part(part, hot, "avg_term", key)
         return fused.join(dist, key, "left")
 
-    return _order_hist(by_card_size(hist, build, key, hot_rows), hist)
+    return _order_hist(by_card_size(hist, build, key, hot_rows, hot_keys), hist)
 
 
 def _order_hist(out: DataFrame, hist: DataFrame) -> DataFrame:
@@ -300,7 +313,7 @@ def _order_hist(out: DataFrame, hist: DataFrame) -> DataFrame:
 
 def new_summary(new: DataFrame, merchants: DataFrame, exact: bool = True,
                 hot_rows: int = HOT_ROWS, null_keys_match: bool = False,
-                key: str = KEY) -> DataFrame:
+                key: str = KEY, hot_keys=None) -> DataFrame:
     """New-period per-card summary.
 
     Pivot counts come from the transactions *before* the merchant join; all
@@ -318,7 +331,7 @@ def new_summary(new: DataFrame, merchants: DataFrame, exact: bool = True,
 
     pivots = new.groupBy(key).agg(
         *[e for cat in CATEGORY_LEVELS for e in pivot_exprs(cat, NEW_PIVOT_NAMES[cat])])
-    out = by_card_size(merged, build, key, hot_rows).join(pivots, key, "left")
+    out = by_card_size(merged, build, key, hot_rows, hot_keys).join(pivots, key, "left")
     stats = [f"{c}_{fn}" for fn in ("sum", "mean", "min", "max", "sd", "n_distinct")
              for c in NEW_STAT_COLUMNS]
     cols = ([key] + stats + dcols + ["new_no_trans", "new_pur_term", "new_avg_term"]

@@ -156,3 +156,13 @@ def test_one_card_with_a_third_of_rows(spark, sf_small):
     plain = round_doubles(summ.hist_summary(h, hot_rows=10**9), 6)
     assert mixed.count() == plain.count()
     assert mixed.exceptAll(plain).count() == 0
+
+
+def test_feature_table_same_with_hot_cards(spark, sf_small):
+    from cardgrain.operators.features import card_features
+    args = (fx.train(spark, sf_small), fx.histdata(spark, sf_small), fx.newdata(spark, sf_small),
+            fx.merchants(spark, sf_small))
+    cold = round_doubles(card_features(*args, ref_date="2002-01-01"), 6)
+    hot = round_doubles(card_features(*args, ref_date="2002-01-01", hot_rows=25), 6)
+    assert cold.columns == hot.columns
+    assert cold.count() == hot.count() and cold.exceptAll(hot).count() == 0
