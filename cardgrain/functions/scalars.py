@@ -31,9 +31,15 @@ def inf_to_null(c) -> Column:
 
 
 def year_month_to_date(c) -> Column:
-    """``YYYY-MM`` (or a full ``YYYY-MM-DD``) to the first day; bad text -> null."""
-    c = _c(c)
-    return F.coalesce(F.try_to_date(c, "yyyy-MM"), F.try_to_date(c, "yyyy-MM-dd"))
+    """Year-month text to its first day (a full date keeps its day).
+
+    Any run of non-digits separates the parts (``2017-06``, ``2017/06``,
+    ``2017.6``); unseparated ``201706`` / ``20170615`` also parse. Text that
+    is not a date becomes null instead of failing the job.
+    """
+    t = F.regexp_replace(F.trim(_c(c).cast("string")), "[^0-9]+", "-")
+    return F.coalesce(F.try_to_date(t, "yyyy-M-d"), F.try_to_date(t, "yyyy-M"),
+                      F.try_to_date(t, "yyyyMMdd"), F.try_to_date(t, "yyyyMM"))
 
 
 def days_before(ref: str | _dt.date, d) -> Column:

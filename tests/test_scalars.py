@@ -40,3 +40,15 @@ def test_report_round_snaps_noise(spark):
 def test_epoch_seconds_reads_ntz_as_utc(spark):
     df = spark.sql("SELECT TIMESTAMP_NTZ '1970-01-02 00:00:00' AS t")
     assert df.select(S.epoch_seconds("t")).first()[0] == 86400
+
+
+def test_month_text_variants(spark):
+    import datetime as dt
+    rows = [("2017-06",), ("2017/06",), ("2017.6",), ("201706",), ("2017-06-15",),
+            ("20170615",), (" 2017-06 ",), ("junk",), ("2017-13",)]
+    df = spark.createDataFrame(rows, "m string")
+    got = [r[0] for r in df.select(S.year_month_to_date("m")).collect()]
+    june = dt.date(2017, 6, 1)
+    assert got[:4] == [june] * 4
+    assert got[4] == got[5] == dt.date(2017, 6, 15)
+    assert got[6] == june and got[7] is None and got[8] is None
