@@ -76,3 +76,24 @@ def test_smooth_series_points(spark, sf_small):
     out = stats.smooth_series(long)
     assert out.count() == 160
     assert out.filter(F.col("fit").isNull() | F.isnan("fit")).count() == 0
+
+
+def test_kernel_density_close_to_exact_kernel_sum(spark, sf_small):
+    """Binned density vs a brute-force Gaussian kernel sum over the raw values."""
+    import numpy as np
+    long = X.lag_long(fx.merchants(spark, sf_small))
+    got = stats.kernel_density(long, 0.0, 5.0).toPandas()
+    pdf = long.toPandas()
+    for feat, grp in got.groupby("feature"):
+        v = pdf[(pdf.feature == feat)]["value"].dropna()
+        v = v[(v >= 0) & (v <= 5)].to_numpy()
+        bw = grp["bw"].iloc[0]
+        xs = grp.sort_values("point")["x"].to_numpy()
+        exact = np.exp(-0.5 * ((xs[:, None] - v[None, :]) / bw) ** 2).sum(1) / (
+            len(v) * bw * np.sqrt(2 * np.pi))
+        dens = grp.sort_values("point")["density"].to_numpy()
+        assert np.max(np.abs(dens - exact)) <= 0.01 * max(exact.max(), 1e-9)
+
+
+def test_pretty_breaks_unit_one():
+    assert stats.pretty_breaks(1.3, 98.7, 100) == (1.0, 99.0, 1.0)
