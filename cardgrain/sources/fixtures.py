@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import threading
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -135,6 +136,7 @@ def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 _BUNDLES: dict[tuple[str, str], str] = {}
+_BUNDLE_LOCK = threading.Lock()
 
 
 def bundle(spark: SparkSession, sf_dir: str) -> str:
@@ -146,25 +148,28 @@ def bundle(spark: SparkSession, sf_dir: str) -> str:
     one period prunes to its folder. Every later plan starts from plain
     parquet scans instead of re-running the joins in each of its branches.
     """
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    with _BUNDLE_LOCK:
+        return _BUNDLES.get(key) or _write_bundle(spark, sf_dir, key)
+
+
+def _write_bundle(spark: SparkSession, sf_dir: str, key: tuple[str, str]) -> str:
     from cardgrain.session import checkpoint_dir
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    path = _BUNDLES.get(key)
-    if path is None:
-        path = f"{checkpoint_dir(spark).rstrip('/')}/cardgrain-roles-{uuid.uuid4().hex}"
-        tx = transactions(spark, sf_dir).withColumn(
-            "period", F.when(F.col("month_lag") < 0, "hist").otherwise("new"))
-        # As many files per period as shuffle partitions, so later scans are
-        # parallel even when a driver table is a single row group. The hash
-        # includes the order key, so a card holding a third of all rows is
-        # spread over every file instead of becoming one huge write task.
-        files = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-        (tx.filter(F.col("month_lag").isNotNull())
-         .repartition(files, "card_id", "l_orderkey", "l_linenumber")
-         .write.partitionBy("period").parquet(f"{path}/tx"))
-        for name in ("merchants", "merchants_dup", "cards"):
-            ROLES[name](spark, sf_dir).write.parquet(f"{path}/{name}")
-        _BUNDLES[key] = path
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cardgrain-roles-{uuid.uuid4().hex}"
+    tx = transactions(spark, sf_dir).withColumn(
+        "period", F.when(F.col("month_lag") < 0, "hist").otherwise("new"))
+    # As many files per period as shuffle partitions, so later scans are
+    # parallel even when a driver table is a single row group. The hash
+    # includes the order key, so a card holding a third of all rows is
+    # spread over every file instead of becoming one huge write task.
+    files = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    (tx.filter(F.col("month_lag").isNotNull())
+     .repartition(files, "card_id", "l_orderkey", "l_linenumber")
+     .write.partitionBy("period").parquet(f"{path}/tx"))
+    for name in ("merchants", "merchants_dup", "cards"):
+        ROLES[name](spark, sf_dir).write.parquet(f"{path}/{name}")
+    _BUNDLES[key] = path
     return path
 
 
