@@ -165,6 +165,23 @@ def with_dummy_flag(df: DataFrame) -> DataFrame:
     return df.withColumn("authorized_flag", flag_dummy("authorized_flag"))
 
 
+def fused_aggregate(df: DataFrame, key: str, aggs: list[Column], distinct: list[Column],
+                    hot: bool) -> DataFrame:
+    """One per-card aggregate of ``aggs`` and the distinct counts.
+
+    On the hot path the exact distinct counts go through Spark's Expand
+    plan; kept in the same aggregate, every expanded row would also carry
+    all regular aggregation buffers. So hot cards get two aggregates -- the
+    regular one (partially aggregated) and a distinct-only one -- joined on
+    the card (hot cards are few, so that join is small).
+    """
+    if not hot or not distinct:
+        return df.groupBy(key).agg(*aggs, *distinct)
+    regular = df.groupBy(key).agg(*aggs)
+    counts = df.groupBy(key).agg(*distinct)
+    return regular.join(counts, key, "inner")
+
+
 def stats_exprs(columns: Sequence[str], exact: bool = True, hot: bool = False) -> list[Column]:
     """{sum, mean, min, max, sd, n_distinct} x columns, named <col>_<fn>."""
     out = []
@@ -293,10 +310,13 @@ def hist_summary(hist: DataFrame, exact: bool = True, hot_rows: int = HOT_ROWS,
     dcols = distinct_columns(hist)
 
     def build(part: DataFrame, hot: bool) -> DataFrame:
-        aggs = (stats_exprs(HIST_STAT_COLUMNS, exact, hot)
-                + [distinct_expr(c, exact, hot).alias(c) for c in dcols] + term_exprs("")
+        stats = HIST_STAT_COLUMNS
+        aggs = ([stat_expr(fn, c, name=f"{c}_{fn}") for fn in ("sum", "mean", "min", "max", "sd")
+                 for c in stats] + term_exprs("")
                 + [e for cat in CATEGORY_LEVELS for e in pivot_exprs(cat, hist_pivot_names(cat))])
-        fused = with_dummy_flag(part).groupBy(key).agg(*aggs)
+        distinct = ([distinct_expr(c, exact, hot).alias(f"{c}_n_distinct") for c in stats]
+                    + [distinct_expr(c, exact, hot).alias(c) for c in dcols])
+        fused = fused_aggregate(with_dummy_flag(part), key, aggs, distinct, hot)
         dist = order_distance_part(part, hot, "avg_term", key)
         return fused.join(dist, key, "left")
 
@@ -323,9 +343,12 @@ def new_summary(new: DataFrame, merchants: DataFrame, exact: bool = True,
     dcols = distinct_columns(merged)
 
     def build(part: DataFrame, hot: bool) -> DataFrame:
-        fused = with_dummy_flag(part).groupBy(key).agg(
-            *stats_exprs(NEW_STAT_COLUMNS, exact, hot),
-            *[distinct_expr(c, exact, hot).alias(c) for c in dcols], *term_exprs("new_"))
+        stats = NEW_STAT_COLUMNS
+        aggs = ([stat_expr(fn, c, name=f"{c}_{fn}") for fn in ("sum", "mean", "min", "max", "sd")
+                 for c in stats] + term_exprs("new_"))
+        distinct = ([distinct_expr(c, exact, hot).alias(f"{c}_n_distinct") for c in stats]
+                    + [distinct_expr(c, exact, hot).alias(c) for c in dcols])
+        fused = fused_aggregate(with_dummy_flag(part), key, aggs, distinct, hot)
         dist = order_distance_part(part, hot, "new_avg_term", key)
         return fused.join(dist, key, "left")
 
