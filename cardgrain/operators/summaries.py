@@ -182,22 +182,19 @@ def fused_aggregate(df: DataFrame, key: str, aggs: list[Column], distinct: list[
     return regular.join(counts, key, "inner")
 
 
-def stats_exprs(columns: Sequence[str], exact: bool = True, hot: bool = False) -> list[Column]:
-    """{sum, mean, min, max, sd, n_distinct} x columns, named <col>_<fn>."""
-    out = []
-    for fn in ("sum", "mean", "min", "max", "sd", "n_distinct"):
-        for c in columns:
-            name = f"{c}_{fn}"
-            out.append(distinct_expr(c, exact, hot).alias(name) if fn == "n_distinct"
-                       else stat_expr(fn, c, name=name))
-    return out
-
-
 def stats6(df: DataFrame, columns: Sequence[str], exact: bool = True,
            key: str = KEY, hot_rows: int = None) -> DataFrame:
     """{sum, mean, min, max, sd, n_distinct} x columns, named <col>_<fn>."""
-    return by_card_size(df, lambda part, hot: part.groupBy(key).agg(
-        *stats_exprs(columns, exact, hot)), key, hot_rows)
+    names = [f"{c}_{fn}" for fn in ("sum", "mean", "min", "max", "sd", "n_distinct")
+             for c in columns]
+
+    def build(part: DataFrame, hot: bool) -> DataFrame:
+        aggs = [stat_expr(fn, c, name=f"{c}_{fn}") for fn in ("sum", "mean", "min", "max", "sd")
+                for c in columns]
+        distinct = [distinct_expr(c, exact, hot).alias(f"{c}_n_distinct") for c in columns]
+        return fused_aggregate(part, key, aggs, distinct, hot).select(key, *names)
+
+    return by_card_size(df, build, key, hot_rows)
 
 
 def term_exprs(prefix: str = "") -> list[Column]:
