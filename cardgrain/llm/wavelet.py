@@ -48,15 +48,16 @@ def build(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray,
            _section(np.packbits(missing, bitorder="little").tobytes())]
     compress = zstandard.ZstdCompressor(level=1).compress
     for b in range(planes - 1, -1, -1):
-        one = (t >> t.dtype.type(b) & t.dtype.type(1)).astype(bool)
-        raw = np.packbits(one, bitorder="little").tobytes()
-        blocks = [compress(raw[i:i + BLOCK_BITS // 8]) for i in range(0, len(raw), BLOCK_BITS // 8)]
-        ones = np.add.reduceat(one, np.arange(0, len(one), BLOCK_BITS), dtype=np.uint64) \
-            if len(one) else np.zeros(0, np.uint64)
+        one = (t & t.dtype.type(1 << b)) != 0
+        bits = np.packbits(one, bitorder="little")
+        raw = bits.tobytes()
+        starts = range(0, len(raw), BLOCK_BITS // 8)
+        blocks = [compress(raw[i:i + BLOCK_BITS // 8]) for i in starts]
+        ones = [int(np.bitwise_count(bits[i:i + BLOCK_BITS // 8]).sum()) for i in starts]
         before = np.concatenate([[0], np.cumsum(ones)]).astype("<u8")
         ends = np.concatenate([[0], np.cumsum([len(x) for x in blocks])]).astype("<u8")
         out += [struct.pack("<Q", int(ends[-1])), before.tobytes(), ends.tobytes(), *blocks]
-        t = np.concatenate([t[~one], t[one]])
+        t = np.concatenate([t.compress(~one), t.compress(one)])
     return b"".join(out)
 
 
@@ -165,8 +166,8 @@ class WaveletMatrix:
             parts = [self._block(p, k) for k in range(len(self.ends[p]) - 1)]
             one = np.concatenate(parts).view(bool) if parts else np.zeros(0, bool)
             up, z = np.empty_like(t), self._zeros(p)
-            up[~one] = t[:z]
-            up[one] = t[z:] | dtype(1 << (self.planes - 1 - p))
+            up[np.flatnonzero(~one)] = t[:z]
+            up[np.flatnonzero(one)] = t[z:] | dtype(1 << (self.planes - 1 - p))
             t = up
         return t.astype(np.uint32)
 

@@ -2,10 +2,10 @@
 
 Texts repeat their words, and both tokenizer kinds used here cut a text at
 single spaces and line ends before they look any further, so the ids of a text
-are the ids of such units end to end. Units not seen before go through the
-library in one batch; the others come from a bounded per-worker cache. A text
-in which a space or line end touches white space on both sides (where a cut
-could change the units) goes through the library whole.
+are the ids of such units end to end. A unit not seen before goes through the
+library; the others come from a bounded per-worker cache. A text in which a
+space or line end touches white space on both sides (where a cut could change
+the units) goes through the library whole.
 """
 
 from __future__ import annotations
@@ -16,18 +16,33 @@ from array import array
 
 import numpy as np
 
-CACHE = 600_000  # units; about 120 MB
+CACHE = 800_000  # units, about 160 MB; half of them of the older generation
 LONG_UNIT = 2000  # longer units are not worth keeping
-JOINED = 100  # units in one call
 # Letters whose lower case and composed form need no context, then marks.
-_LATIN = re.compile("[ \\n]?([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?*#$%&|)(-]*)")
+_LATIN = re.compile(
+    "([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?*#$%&|)(-]*)").fullmatch
+_DOUBTFUL = re.compile(r"(?:\s|^)[ \n](?:\s|$)").search
 # Byte-level alphabet: printable bytes stand for themselves, the others for
 # the code points from 256 on, in order.
 _SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE = {b: chr(b) for b in _SELF} | {
     b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(_SELF))}
-_ODD = re.compile(r"[\s\x01]")
-_DOUBTFUL = re.compile(r"(?:\s|^)[ \n](?:\s|$)")
+
+
+class _Units(dict):
+    """Ids of units; a missing one is taken from the older generation or encoded."""
+
+    def __init__(self, encode, older: dict):
+        super().__init__()
+        self.encode, self.older = encode, older
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self.older.get(unit)
+        if ids is None:
+            ids = self.encode(unit, self)
+        if len(unit) <= LONG_UNIT:
+            self[unit] = ids
+        return ids
 
 
 class WordEncoder:
@@ -46,116 +61,74 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
             kind = json.load(f)
         # A byte-level tokenizer keeps the space in front of a word; one that
-        # drops white space sees the words alone.
+        # drops white space sees the words alone, in lower case.
         self.keeps_space = kind["pre_tokenizer"]["type"] == "ByteLevel"
-        self.separator = "\n" if self.keeps_space else " \x01 "
-        (self.separator_id,) = self.tokenizer.encode(self.separator, add_special_tokens=False).ids
-        self.separator_bytes = np.uint32(self.separator_id).tobytes()
-        self.model = self.tokenizer.model
-        self.tails: dict[str, list[int]] = {}
-        self.cache: dict[str, bytes] = {}
+        self.line_end = self._library(["\n"])[0]
+        self.tails: dict[str, bytes] = {}
+        self.cache = _Units(self._unit, {})
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _plain(self, head: str, tail: str, spaced: bool) -> bytes:
-        """Ids of Latin letters and marks after them: the library's model on
-        the two pieces its pre-tokenizer makes of them."""
-        if not self.keeps_space:
-            head = head.lower()
-        piece = head if head.isascii() else "".join([_BYTE[b] for b in head.encode()])
-        ids = [t.id for t in self.model.tokenize("\u0120" + piece if spaced else piece)]
-        if tail:
-            if tail not in self.tails:
-                self.tails[tail] = [t.id for t in self.model.tokenize(tail)]
-            ids += self.tails[tail]
-        return array("I", ids).tobytes()
-
-    def _new(self, units: list[str]) -> list[bytes]:
-        """Ids of units. A Latin word with marks after it goes to the library's
-        model as the two pieces that its pre-tokenizer makes of it; the others
-        go through the whole library, many to a call: joined by a separator
-        that is a unit and an id of its own, and cut at that id; units with
-        white space or the separator in them one by one.
+    def _piece(self, piece: str, lead: str = "") -> bytes:
+        if not piece.isascii():
+            piece = "".join([_BYTE[b] for b in piece.encode()])
+        return array("I", [t.id for t in self.model.tokenize(lead + piece)]).tobytes()
+
+    def _unit(self, unit: str, cache: dict) -> bytes:
+        """Ids of one unit. A Latin word with marks after it goes to the library's
+        model as the two pieces that its pre-tokenizer makes of it, any other
+        unit through the whole library. Keys: see :meth:`_units`.
         """
-        out: list[bytes] = [b""] * len(units)
-        texts = list(map(self._text, units))
-        odd, plain = [], []
-        for i, t in enumerate(texts):
-            lead = t[:1]
-            word = _LATIN.fullmatch(t)
-            if word:
-                out[i] = self._plain(word[1], word[2], lead == " ")
-                if lead == "\n":
-                    out[i] = self.separator_bytes + out[i]
-            elif t in ("", " ", "\n") or _ODD.search(t, lead == " " or lead == "\n"):
-                odd.append(i)
+        lead, front, body = "", b"", unit
+        if self.keeps_space:
+            if unit[:1] == "\n":
+                front, body = self.line_end, unit[1:]
+            elif unit[:1] == "\x00":
+                body = unit[1:]
             else:
-                plain.append(i)
-        if odd:
-            for i, ids in zip(odd, self._library([texts[i] for i in odd])):
-                out[i] = ids
-        for at in range(0, len(plain), JOINED):
-            part = plain[at:at + JOINED]
-            lines = [texts[i][1:] if texts[i][0] == "\n" else texts[i] for i in part]
-            ids = np.array(self.tokenizer.encode(self.separator.join(lines),
-                                                 add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(ids == self.separator_id)
-            if len(cuts) != len(part) - 1:
-                raise ValueError("the separator is not a unit of its own")
-            raw, start = ids.tobytes(), 0
-            for i, stop in zip(part, [*(4 * cuts).tolist(), len(raw)]):
-                out[i] = raw[start:stop]
-                start = stop + 4
-                if texts[i][0] == "\n":
-                    out[i] = self.separator_bytes + out[i]
-        return out
-
-    def _units(self, text: str) -> list[str]:
-        """Cache keys: a unit's own text from its line end on, else without the
-        space in front of it (the first unit, which has none, gets the key
-        of a line start)."""
+                lead = "Ġ"
+        word = _LATIN(body)
+        if not word:
+            return self._library([unit if front else " " + unit if lead else body])[0]
+        head, tail = word[1], word[2]
         if not self.keeps_space:
-            return text.replace("\n", " ").split(" ")
-        return ("\x00" + text).replace("\n", " \n").split(" ")
+            head = head.lower()
+        if not tail:
+            return front + self._piece(head, lead)
+        if tail not in self.tails:
+            self.tails[tail] = self._piece(tail)
+        ids = self._piece(head) if self.keeps_space and not lead else cache[head]
+        return front + ids + self.tails[tail]
 
-    def _text(self, unit: str) -> str:
-        if not self.keeps_space or unit[:1] == "\n":
-            return unit
-        return unit[1:] if unit[:1] == "\x00" else " " + unit
+    def _units(self, text: str) -> list[str]:
+        """Cache keys of a text's units: from the line end on, else without the
+        space in front (the first unit, which has none, is marked)."""
+        if self.keeps_space:
+            return ("\x00" + text).replace("\n", " \n").split(" ")
+        try:
+            text.encode("latin-1")
+            text = text.lower()  # needs no context and no composition here
+        except UnicodeEncodeError:
+            pass
+        return text.replace("\n", " ").split(" ")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text; null counts as empty."""
-        out: list[bytes] = [b""] * len(texts)
-        cut, whole = [], []
-        for i, t in enumerate(texts):
+        if len(self.cache) > CACHE // 2:
+            self.cache = _Units(self._unit, dict(self.cache))
+        look = self.cache.__getitem__
+        out = []
+        for t in texts:
             if not t:
-                continue
-            if self.keeps_space and ("\x00" in t or _DOUBTFUL.search(t)):
-                whole.append(i)
+                out.append(b"")
+            elif self.keeps_space and ("\x00" in t or _DOUBTFUL(t)):
+                out.append(self._library([t])[0])
             else:
-                cut.append((i, self._units(t)))
-        if whole:
-            for i, ids in zip(whole, self._library([texts[i] for i in whole])):
-                out[i] = ids
-        used = set().union(*(u for _, u in cut)) if cut else set()
-        if len(self.cache) > CACHE:  # what these texts use stays, so common words do
-            self.cache = {u: self.cache[u] for u in used if u in self.cache}
-        cache = self.cache
-        long_units = False
-        missing = list(used.difference(cache))
-        for at in range(0, len(missing), 20_000):
-            part = missing[at:at + 20_000]
-            long_units |= max(map(len, part)) > LONG_UNIT
-            cache.update(zip(part, self._new(part)))
-        for i, units in cut:
-            out[i] = b"".join(map(cache.__getitem__, units))
-        if long_units:
-            for unit in missing:
-                if len(unit) > LONG_UNIT:
-                    del cache[unit]
+                out.append(b"".join(map(look, self._units(t))))
         return out
