@@ -5,9 +5,10 @@ from __future__ import annotations
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cardgrain.llm import packing, simhash, sketch, urlfilter, wavelet
-from cardgrain.llm.common import prepare
+from cardgrain.llm import langid, packing, quality, simhash, sketch, urlfilter, wavelet
+from cardgrain.llm.common import fold, prepare
 
 QUERIES = {}
 
@@ -36,6 +37,33 @@ def op1_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def held_out():
+    """Rows that nothing is learned from: crc32 of the id, modulo 3, is 1."""
+    return fold(F.col("doc_id"), 3) == 1
+
+
+def learned_quality(spark, docs, sf_dir):
+    """(word vectors, network) from the texts of ``docs`` and the labels that may be learned."""
+    labels = table(spark, sf_dir, "labels").where(~held_out()).select(
+        "doc_id", F.col("quality").alias("label"))
+    vectors = quality.word_vectors(docs)
+    return vectors, quality.learn(docs, labels, vectors)
+
+
+@query
+def op2_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.classify(docs, *learned_quality(spark, docs, sf_dir))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op3_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.learn(docs.where(~held_out())))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op5_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
@@ -58,4 +86,11 @@ def op9_url_rules(spark, sf_dir):
     return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.rule_table(spark))
 
 
+@query
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 ORACLES = {"op9_url_rules": urlfilter.ORACLE}
