@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardgrain.llm import langid, packing, quality, simhash, sketch, urlfilter, wavelet
+from cardgrain.llm import langid, nndescent, packing, quality, simhash, sketch, urlfilter, wavelet
 from cardgrain.llm.common import fold, prepare
 
 QUERIES = {}
@@ -81,6 +81,11 @@ def op7_token_files(spark, sf_dir):
         table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2))
 
 
+@query
+def op8_vector_links(spark, sf_dir):
+    return nndescent.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 @query
 def op9_url_rules(spark, sf_dir):
     return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.rule_table(spark))
