@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardgrain.llm import langid, nndescent, packing, quality, simhash, sketch, urlfilter, wavelet
+from cardgrain.llm import langid, nndescent, packing, piecetok, quality, simhash, sketch, urlfilter, wavelet
 from cardgrain.llm.common import fold, prepare
 
 QUERIES = {}
@@ -91,6 +91,12 @@ def op9_url_rules(spark, sf_dir):
     return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.rule_table(spark))
 
 
+@query
+def op10_pieces(spark, sf_dir):
+    return piecetok.digests(table(spark, sf_dir, "documents"),
+                            tokenizer_path("piece_bpe_32k.model"))
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
