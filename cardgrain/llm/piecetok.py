@@ -333,8 +333,8 @@ class PieceModel:
         first, *others = text.split("\x00")
         null = np.uint32(self.byte_id.get(0, self.unknown)).tobytes()
         out = [self.encode([first])[0] if first else np.uint32(self.id_of[SPACE]).tobytes()]
-        for part in others:  # a line end in front keeps the space symbol away
-            out += [null, self.encode(["\n" + part])[0][4:] if part else b""]
+        for part in others:  # space symbol and line end in front are cut off
+            out += [null, self.encode(["\n" + part])[0][8:] if part else b""]
         return b"".join(out)
 
     def _with_runs(self, units: list[str], bare: bytes) -> bytes:
