@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardgrain.llm import langid, nndescent, packing, piecetok, quality, simhash, sketch, urlfilter, wavelet
+from cardgrain.llm import langid, ngrams, nndescent, packing, piecetok, quality, simhash, sketch, urlfilter, wavelet
 from cardgrain.llm.common import fold, prepare
 
 QUERIES = {}
@@ -64,6 +64,15 @@ def op3_language(spark, sf_dir):
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op4_ngram_scores(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = fold(F.col("doc_id"), 10) == 0
+    scored = ngrams.score(docs, ngrams.learn(docs.where(~out)))
+    return scored.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 @query
 def op5_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
