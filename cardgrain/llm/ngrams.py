@@ -129,19 +129,20 @@ class GramFile:
         self.rest, at = _read(data, at, "<u2")
         self.counts, _ = _read(data, at, "<u4")
 
-    def look(self, context: np.ndarray, child: np.ndarray):
-        """(rest, p, count) of each entry; rest 1 for an unknown context."""
-        rank = self.contexts.find(context)
-        known = np.flatnonzero(rank >= 0)
-        rest, p = np.ones(len(rank)), np.zeros(len(rank))
-        count = np.zeros(len(rank), np.int64)
-        if len(known):
-            r = rank[known]
-            rest[known] = restore(self.rest[r])
-            at = self.children.find((r.astype(np.uint64) << np.uint64(32)) | child[known])
-            hit = at >= 0
-            p[known[hit]] = restore(self.p[at[hit]])
-            count[known[hit]] = self.counts[at[hit]]
+    def look(self, distinct: np.ndarray, sizes: np.ndarray, child: np.ndarray):
+        """(rest, p, count) of entries given as runs: ``sizes`` children of each of
+        the ascending ``distinct`` contexts; rest 1 for an unknown context."""
+        rank = self.contexts.find(distinct)
+        known = rank >= 0
+        rests = np.ones(len(rank))
+        rests[known] = restore(self.rest[rank[known]])
+        rank, rest = np.repeat(rank, sizes), np.repeat(rests, sizes)
+        p, count = np.zeros(len(child)), np.zeros(len(child), np.int64)
+        use = np.flatnonzero(rank >= 0)
+        at = self.children.find((rank[use].astype(np.uint64) << np.uint64(32)) | child[use])
+        hit = at >= 0
+        use, at = use[hit], at[hit]
+        p[use], count[use] = restore(self.p[at]), self.counts[at]
         return rest, p, count
 
     def followers(self, context: int) -> np.ndarray:
@@ -162,6 +163,15 @@ class Level:
     paths: list
     whole_rest: dict = field(default_factory=dict)  # contexts cut over several files
 
+    def of(self, distinct: np.ndarray) -> np.ndarray:
+        """File number of each ascending context; -1 for one cut over several files."""
+        at = np.searchsorted(self.contexts, distinct, "right") - 1
+        cut = np.unique(self.contexts[self.children > 0])
+        if len(cut):
+            k = np.minimum(np.searchsorted(cut, distinct), len(cut) - 1)
+            at[cut[k] == distinct] = -1
+        return at
+
     def shard(self, context: np.ndarray, child: np.ndarray) -> np.ndarray:
         """File number of each entry: the last start at or below it."""
         at = np.searchsorted(self.contexts, context, "right") - 1
@@ -217,20 +227,44 @@ class Model:
         return out
 
     def look(self, n: int, context: np.ndarray, child: np.ndarray):
-        """(rest, p, count) of entries of level n."""
+        """(rest, p, count) of entries of level n, in any order."""
         level = self.levels[n - 1]
-        rest, p = np.ones(len(context)), np.zeros(len(context))
-        count = np.zeros(len(context), np.int64)
-        where = level.shard(context, child)
-        order = np.argsort(where, kind="stable")
-        cuts = np.flatnonzero(np.diff(where[order])) + 1
-        for mine in np.split(order, cuts):
-            f = self._file(n - 1, where[mine[0]]) if len(mine) else None
+        order = np.argsort(context)
+        context, child = context[order], child[order]
+        rest, p = np.ones(len(order)), np.zeros(len(order))
+        count = np.zeros(len(order), np.int64)
+
+        def ask(shard: int, distinct, sizes, at):
+            f = self._file(n - 1, shard)
             if f is not None:
-                rest[mine], p[mine], count[mine] = f.look(context[mine], child[mine])
-        for c, r in level.whole_rest.items():
-            rest[context == np.uint64(c)] = r
-        return rest, p, count
+                rest[at], p[at], count[at] = f.look(distinct, sizes, child[at])
+
+        first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+        distinct, stop = context[first], np.concatenate([first[1:], [len(order)]])
+        where = level.of(distinct)
+        alone = where >= 0
+        for k in np.flatnonzero(~alone).tolist():  # contexts cut over several files
+            at = np.arange(first[k], stop[k])
+            shard = level.shard(context[at], child[at])
+            for s in np.unique(shard).tolist():
+                mine = at[shard == s]
+                ask(s, distinct[k:k + 1], np.array([len(mine)]), mine)
+            rest[at] = level.whole_rest.get(int(distinct[k]), 1.0)
+        keep = np.flatnonzero(alone)
+        cuts = np.flatnonzero(np.diff(where[keep])) + 1
+        for part in np.split(keep, cuts) if len(keep) else ():
+            a, b = part[0], part[-1] + 1
+            if b - a == len(part):
+                ask(where[a], distinct[a:b], (stop - first)[a:b], slice(first[a], stop[b - 1]))
+            else:  # a cut context lies between
+                sizes = (stop - first)[part]
+                at = np.repeat(first[part], sizes) + np.arange(sizes.sum()) - np.repeat(
+                    np.cumsum(sizes) - sizes, sizes)
+                ask(where[a], distinct[part], sizes, at)
+        out = np.empty_like(rest), np.empty_like(p), np.empty_like(count)
+        for to, x in zip(out, (rest, p, count)):
+            to[order] = x
+        return out
 
     def base(self, count: np.ndarray) -> np.ndarray:
         return (count + ADD) / (self.total + ADD * (self.distinct + 1))
@@ -255,17 +289,11 @@ class Model:
             at = np.flatnonzero(live)
             if not len(at):
                 return
-            key = deeper(context[at], h[at])
-            _, first, back = np.unique(key, return_index=True, return_inverse=True)
-            use = at[first]
-            order = np.lexsort((h[use] & MASK32, context[use]))
-            rest, q, c = (np.empty(len(use)), np.empty(len(use)), np.empty(len(use), np.int64))
-            rest[order], q[order], c[order] = self.look(n, context[use[order]],
-                                                        h[use[order]] & MASK32)
+            rest, q, c = self.look(n, context[at], h[at] & MASK32)
             p = p.copy()
-            p[at] = q[back] + rest[back] * p[at]
+            p[at] = q + rest * p[at]
             full = np.zeros(len(h), np.int64)
-            full[at] = c[back]
+            full[at] = c
             yield n, context, live, full, p
             # next: the context of token i is (context of token i-1, token i-1), if stored
             grown = np.zeros(len(h), np.uint64)
@@ -358,9 +386,24 @@ def _unblob(blob: bytes):
             np.repeat(ctx_count, sizes).astype(np.int64))
 
 
+def _order(context: np.ndarray, child: np.ndarray) -> np.ndarray:
+    """Sorts by (context, child): by the first 32 bits of the context and the
+    child in one key, then the few contexts that share those bits by both."""
+    order = np.argsort(((context >> np.uint64(31)) << np.uint64(32)) | child)
+    c = context[order]
+    top = c >> np.uint64(31)
+    mixed = np.unique(top[1:][(top[1:] == top[:-1]) & (c[1:] != c[:-1])])
+    if len(mixed):
+        k = np.minimum(np.searchsorted(mixed, top), len(mixed) - 1)
+        at = np.flatnonzero(mixed[k] == top)
+        sub = order[at]
+        order[at] = sub[np.lexsort((child[sub], context[sub]))]
+    return order
+
+
 def _sum_entries(parts):
     context, child, count, ctx_count = map(np.concatenate, zip(*parts))
-    order = np.lexsort((child, context))
+    order = _order(context, child)
     context, child, count, ctx_count = (x[order] for x in (context, child, count, ctx_count))
     new = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) |
                                          (child[1:] != child[:-1])]))
@@ -465,26 +508,30 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     order = len(model.levels)
 
     def run(batches):
+        ids, held, size = [], [], 0
+
+        def scored():
+            h = np.concatenate(held)
+            n = np.array([len(x) for x in held])
+            first = np.cumsum(n) - n
+            for m, _, _, counts, p in model.grams(h, order):
+                if m == 1:
+                    known = np.add.reduceat(counts > 0, first, dtype=np.int64)
+                    base = np.add.reduceat(np.log10(p), first)
+            return {"doc_id": ids, "n_tokens": n.tolist(), "n_known": known.tolist(),
+                    "train_tokens": [model.total] * len(ids), "base_score": base.tolist(),
+                    "score": np.add.reduceat(np.log10(p), first).tolist()}
+
         for b in batches:
-            ids, held, size = [], [], 0
-            rows = list(zip(b["doc_id"], b["text"]))
-            for k, (doc_id, text) in enumerate(rows):
+            for doc_id, text in zip(b["doc_id"], b["text"]):
                 ids.append(doc_id)
                 held.append(tokens(text))
                 size += len(held[-1])
-                if size < FLUSH and k + 1 < len(rows):
-                    continue
-                h = np.concatenate(held)
-                n = np.array([len(x) for x in held])
-                first = np.cumsum(n) - n
-                for m, _, _, counts, p in model.grams(h, order):
-                    if m == 1:
-                        known = np.add.reduceat(counts > 0, first, dtype=np.int64)
-                        base = np.add.reduceat(np.log10(p), first)
-                yield {"doc_id": ids, "n_tokens": n.tolist(), "n_known": known.tolist(),
-                       "train_tokens": [model.total] * len(ids), "base_score": base.tolist(),
-                       "score": np.add.reduceat(np.log10(p), first).tolist()}
-                ids, held, size = [], [], 0
+                if size >= FLUSH:
+                    yield scored()
+                    ids, held, size = [], [], 0
+        if held:
+            yield scored()
 
     return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), run,
                      "doc_id long, n_tokens long, n_known long, train_tokens long, "
