@@ -18,9 +18,9 @@ import numpy as np
 
 CACHE = 800_000  # units, about 160 MB; half of them of the older generation
 LONG_UNIT = 2000  # longer units are not worth keeping
-# Letters whose lower case and composed form need no context, then marks.
+# Letters whose lower case is one letter and needs no context, then marks.
 _LATIN = re.compile(
-    "([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?*#$%&|)(-]*)").fullmatch
+    "([A-Za-zÀ-ÖØ-öø-\u012f\u0131-ɏ]+)([.,;:!?*#$%&|)(-]*)").fullmatch
 _DOUBTFUL = re.compile(r"(?:\s|^)[ \n](?:\s|$)").search
 # Byte-level alphabet: printable bytes stand for themselves, the others for
 # the code points from 256 on, in order.
