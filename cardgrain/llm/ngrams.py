@@ -229,10 +229,14 @@ class Model:
     def look(self, n: int, context: np.ndarray, child: np.ndarray):
         """(rest, p, count) of entries of level n, in any order."""
         level = self.levels[n - 1]
-        order = np.argsort(context)
+        order = _order(context, child)
         context, child = context[order], child[order]
-        rest, p = np.ones(len(order)), np.zeros(len(order))
-        count = np.zeros(len(order), np.int64)
+        once = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) |
+                                              (child[1:] != child[:-1])]))
+        times = np.diff(np.concatenate([once, [len(order)]]))
+        context, child = context[once], child[once]
+        rest, p = np.ones(len(once)), np.zeros(len(once))
+        count = np.zeros(len(once), np.int64)
 
         def ask(shard: int, distinct, sizes, at):
             f = self._file(n - 1, shard)
@@ -240,7 +244,7 @@ class Model:
                 rest[at], p[at], count[at] = f.look(distinct, sizes, child[at])
 
         first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-        distinct, stop = context[first], np.concatenate([first[1:], [len(order)]])
+        distinct, stop = context[first], np.concatenate([first[1:], [len(once)]])
         where = level.of(distinct)
         alone = where >= 0
         for k in np.flatnonzero(~alone).tolist():  # contexts cut over several files
@@ -261,9 +265,9 @@ class Model:
                 at = np.repeat(first[part], sizes) + np.arange(sizes.sum()) - np.repeat(
                     np.cumsum(sizes) - sizes, sizes)
                 ask(where[a], distinct[part], sizes, at)
-        out = np.empty_like(rest), np.empty_like(p), np.empty_like(count)
+        out = tuple(np.empty(len(order), x.dtype) for x in (rest, p, count))
         for to, x in zip(out, (rest, p, count)):
-            to[order] = x
+            to[order] = np.repeat(x, times)
         return out
 
     def base(self, count: np.ndarray) -> np.ndarray:
