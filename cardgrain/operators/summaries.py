@@ -114,6 +114,13 @@ def distinct_exprs(df: DataFrame, exact: bool = True, hot: bool = False) -> list
     return [distinct_expr(c, exact, hot).alias(c) for c in distinct_columns(df)]
 
 
+def join_on_key(left: DataFrame, right: DataFrame, key: str = KEY, how: str = "left") -> DataFrame:
+    """Join per-card blocks on the card; a missing card is a group like any other
+    and meets the missing card of the other block."""
+    right = right.withColumnRenamed(key, "_key")
+    return left.join(right, left[key].eqNullSafe(right["_key"]), how).drop("_key")
+
+
 # Passed as ``hot_keys`` when the caller already knows no key is hot.
 NO_HOT = "no-hot-keys"
 
@@ -138,10 +145,9 @@ def split_hot(df: DataFrame, key: str = KEY, hot_rows: int = None, hot_keys=None
     hot = hot_keys if hot_keys is not None else hot_key_table(df, key, hot_rows)
     if hot_keys is None and hot.isEmpty():
         return df, None
-    # At most rows / hot_rows keys: a bounded broadcast.
-    hot_b = F.broadcast(hot)
-    cond = df[key].eqNullSafe(hot_b["_hot"])
-    return df.join(hot_b, cond, "left_anti"), df.join(hot_b, cond, "left_semi")
+    # At most rows / hot_rows keys; AQE broadcasts them if that measures small.
+    cond = df[key].eqNullSafe(hot["_hot"])
+    return df.join(hot, cond, "left_anti"), df.join(hot, cond, "left_semi")
 
 
 def by_card_size(df: DataFrame, build, key: str = KEY, hot_rows: int = None,
@@ -179,7 +185,7 @@ def fused_aggregate(df: DataFrame, key: str, aggs: list[Column], distinct: list[
         return df.groupBy(key).agg(*aggs, *distinct)
     regular = df.groupBy(key).agg(*aggs)
     counts = df.groupBy(key).agg(*distinct)
-    return regular.join(counts, key, "inner")
+    return join_on_key(regular, counts, key, "inner")
 
 
 def stats6(df: DataFrame, columns: Sequence[str], exact: bool = True,
@@ -262,7 +268,7 @@ def _order_distance_ranged(base: DataFrame, name: str, key: str, order: list[str
                         [F.col(x).asc_nulls_last(), F.col("_idx")], "_q")
     prev = q.select(F.col(key).alias("_k"), (F.col("_q") + 1).alias("_qn"),
                     F.col("_idx").alias("_pidx"))
-    joined = q.join(prev, (q[key] == prev["_k"]) & (q["_q"] == prev["_qn"]), "left")
+    joined = q.join(prev, q[key].eqNullSafe(prev["_k"]) & (q["_q"] == prev["_qn"]), "left")
     return joined.groupBy(key).agg(F.avg(F.abs(F.col("_idx") - F.col("_pidx"))).alias(name))
 
 
@@ -315,7 +321,7 @@ def hist_summary(hist: DataFrame, exact: bool = True, hot_rows: int = HOT_ROWS,
                     + [distinct_expr(c, exact, hot).alias(c) for c in dcols])
         fused = fused_aggregate(with_dummy_flag(part), key, aggs, distinct, hot)
         dist = order_distance_part(part, hot, "avg_term", key)
-        return fused.join(dist, key, "left")
+        return join_on_key(fused, dist, key)
 
     return _order_hist(by_card_size(hist, build, key, hot_rows, hot_keys), hist)
 
@@ -347,11 +353,11 @@ def new_summary(new: DataFrame, merchants: DataFrame, exact: bool = True,
                     + [distinct_expr(c, exact, hot).alias(c) for c in dcols])
         fused = fused_aggregate(with_dummy_flag(part), key, aggs, distinct, hot)
         dist = order_distance_part(part, hot, "new_avg_term", key)
-        return fused.join(dist, key, "left")
+        return join_on_key(fused, dist, key)
 
     pivots = new.groupBy(key).agg(
         *[e for cat in CATEGORY_LEVELS for e in pivot_exprs(cat, NEW_PIVOT_NAMES[cat])])
-    out = by_card_size(merged, build, key, hot_rows, hot_keys).join(pivots, key, "left")
+    out = join_on_key(by_card_size(merged, build, key, hot_rows, hot_keys), pivots, key)
     stats = [f"{c}_{fn}" for fn in ("sum", "mean", "min", "max", "sd", "n_distinct")
              for c in NEW_STAT_COLUMNS]
     cols = ([key] + stats + dcols + ["new_no_trans", "new_pur_term", "new_avg_term"]

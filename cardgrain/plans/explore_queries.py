@@ -275,7 +275,7 @@ def stream_term_hist(spark, d):
     base = files.scratch_path(spark, "stream")
     src = f"{base}/source"
     # The stream source: the historical transactions, written as parquet files.
-    _r(spark, d, "histdata").repartition(4).write.parquet(src)
+    _r(spark, d, "histdata").write.parquet(src)
     agg = term_stream(read_transaction_stream(spark, src, schemas.TRANSACTIONS, 2))
     out = run_to_table(agg, f"{base}/table", f"{base}/checkpoint")
     return spark.read.parquet(out)

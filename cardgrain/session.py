@@ -8,7 +8,6 @@ temporary folder so that tests can run.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -32,19 +31,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
                   app_name: str = "cardgrain") -> SparkSession:
     """Create (or fetch) a session with the engine's settings.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or 8]``; on a cluster, pass
-    ``master=None`` through spark-submit and leave it unset here.
+    Without ``master`` the session takes the one that spark-submit sets.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None:
-        master = f"local[{os.environ.get('BENCH_CPUS', '8')}]"
-    builder = builder.master(master)
+    if master is not None:
+        builder = builder.master(master)
     conf = dict(ENGINE_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "16g")
+    if master is not None and master.startswith("local"):
+        conf["spark.driver.memory"] = "16g"  # driver and executors are one process
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -55,10 +53,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def apply_engine_conf(spark: SparkSession) -> None:
     """Apply the runtime SQL settings to an existing session (driver-made)."""
     for k, v in ENGINE_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):  # static settings stay as they are
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings stay as they are
-            pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

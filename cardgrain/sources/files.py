@@ -34,25 +34,41 @@ def parse_double(c: str):
             .otherwise(t.try_cast("double")))
 
 
+def parse_whole(c: str, kind: str):
+    """Text -> whole number; ``1.0`` counts as 1, a fraction or bad text -> null."""
+    t = F.trim(F.col(c))
+    wide = t.try_cast("double")
+    whole = F.when(wide == F.floor(wide), wide.try_cast("bigint"))
+    return F.coalesce(t.try_cast("bigint"), whole).try_cast(kind)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header, ``NA`` or blank -> missing, types from ``schema``.
+    """CSV with a header, ``NA`` or blank (quoted or not) -> missing, types from ``schema``.
 
-    Double columns are read as text and parsed so that ``Inf``, ``inf`` and
-    ``Infinity`` all become infinity (Spark's own parser accepts one spelling
-    at a time).
+    Columns are found by their name in the header, in any order; other columns
+    of the file are left out, and a missing one is an error. Every column is
+    read as text and parsed: ``Inf``, ``inf`` and ``Infinity`` are infinity,
+    ``1.0`` is a whole number, text that does not parse is missing.
     """
-    text_schema = T.StructType([
-        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.DoubleType)
-                      else f.dataType, True) for f in schema.fields])
-    raw = (spark.read.schema(text_schema).option("header", True).option("nullValue", "NA")
-           .option("mode", "PERMISSIVE").csv(path))
+    raw = (spark.read.option("header", True).option("inferSchema", False)
+           .option("nullValue", "NA").option("emptyValue", "").csv(path))
+    absent = [f.name for f in schema.fields if f.name not in raw.columns]
+    if absent:
+        raise ValueError(f"no column {', '.join(absent)} in the header of {path}")
+    blank = raw.select(*[F.when(F.trim(F.col(f.name)) != "", F.col(f.name)).alias(f.name)
+                         for f in schema.fields])
     cols = []
     for f in schema.fields:
-        if isinstance(f.dataType, T.DoubleType):
-            cols.append(parse_double(f.name).alias(f.name))
-        else:
+        kind = f.dataType.simpleString()
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            cols.append(parse_double(f.name).cast(kind).alias(f.name))
+        elif isinstance(f.dataType, T.IntegralType):
+            cols.append(parse_whole(f.name, kind).alias(f.name))
+        elif isinstance(f.dataType, T.StringType):
             cols.append(F.col(f.name))
-    return raw.select(*cols)
+        else:
+            cols.append(F.trim(F.col(f.name)).try_cast(kind).alias(f.name))
+    return blank.select(*cols)
 
 
 def write_csv(df: DataFrame, path: str) -> str:

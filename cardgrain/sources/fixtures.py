@@ -158,14 +158,14 @@ def _write_bundle(spark: SparkSession, sf_dir: str, key: tuple[str, str]) -> str
 
     path = f"{checkpoint_dir(spark).rstrip('/')}/cardgrain-roles-{uuid.uuid4().hex}"
     tx = transactions(spark, sf_dir).withColumn(
-        "period", F.when(F.col("month_lag") < 0, "hist").otherwise("new"))
+        "period", F.when(F.col("month_lag") < 0, "hist").when(
+            F.col("month_lag") >= 0, "new"))  # no period without a month lag
     # As many files per period as shuffle partitions, so later scans are
     # parallel even when a driver table is a single row group. The hash
     # includes the order key, so a card holding a third of all rows is
     # spread over every file instead of becoming one huge write task.
     files = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    (tx.filter(F.col("month_lag").isNotNull())
-     .repartition(files, "card_id", "l_orderkey", "l_linenumber")
+    (tx.repartition(files, "card_id", "l_orderkey", "l_linenumber")
      .write.partitionBy("period").parquet(f"{path}/tx"))
     for name in ("merchants", "merchants_dup", "cards"):
         ROLES[name](spark, sf_dir).write.parquet(f"{path}/{name}")

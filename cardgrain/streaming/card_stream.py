@@ -51,22 +51,33 @@ def run_to_table(agg: DataFrame, table_path: str, checkpoint: str,
     replaces those cards' rows (left-anti join with the previous version,
     then a union) and writes the result to ``batch=<id>``. A re-run of the
     same batch after a failure rewrites the same folder, so the table never
-    holds a half-applied batch.
+    holds a half-applied batch; a run that finds no new files returns the
+    newest version there is.
     """
     spark = agg.sparkSession
-    done: list[int] = []
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        out_path = f"{table_path}/batch={batch_id}"
-        try:
+        merged = batch
+        if batch_id > 0:  # an unreadable previous version stops the batch
             prev = spark.read.parquet(f"{table_path}/batch={batch_id - 1}")
-            merged = prev.join(batch.select(key), key, "left_anti").unionByName(batch)
-        except Exception:  # first batch: nothing to merge with
-            merged = batch
-        merged.write.mode("overwrite").parquet(out_path)
-        done.append(batch_id)
+            merged = prev.join(batch.select(F.col(key).alias("_key")),
+                               F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(batch)
+        merged.write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
 
     q = (agg.writeStream.outputMode("update").foreachBatch(merge)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+    return newest_version(spark, table_path)
+
+
+def newest_version(spark: SparkSession, table_path: str) -> str | None:
+    """Folder of the newest complete version of the table, also from earlier runs."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(table_path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    done = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(folder)
+            if s.getPath().getName().startswith("batch=")
+            and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
     return f"{table_path}/batch={max(done)}" if done else None
