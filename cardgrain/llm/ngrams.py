@@ -66,8 +66,11 @@ def quantise(p: np.ndarray) -> np.ndarray:
     return q
 
 
+_RESTORED = np.concatenate([10.0 ** (-np.arange(ZERO) / SCALE), [0.0]])
+
+
 def restore(q: np.ndarray) -> np.ndarray:
-    return np.where(q == ZERO, 0.0, 10.0 ** (-q.astype(np.float64) / SCALE))
+    return _RESTORED[q]
 
 
 def _section(a: np.ndarray) -> bytes:
@@ -299,6 +302,8 @@ class Model:
             full = np.zeros(len(h), np.int64)
             full[at] = c
             yield n, context, live, full, p
+            if n == upto:
+                return
             # next: the context of token i is (context of token i-1, token i-1), if stored
             grown = np.zeros(len(h), np.uint64)
             grown[1:] = deeper(context[:-1], h[:-1])
