@@ -21,7 +21,7 @@ def main() -> None:
     from cardgrain.sources import fixtures as fx
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session(shuffle_partitions=16)
+    spark = build_session("local[8]", shuffle_partitions=16)
     checkpoint_dir(spark)
     h = fx.stored(spark, sf_dir, "histdata")
     hf = summ.with_dummy_flag(h)

@@ -52,7 +52,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     from cardgrain.plans.catalog import queries
     from cardgrain.session import build_session, checkpoint_dir
-    spark = build_session(shuffle_partitions=16)
+    spark = build_session("local[8]", shuffle_partitions=16)
     checkpoint_dir(spark)
     qs = queries()
     print("# PLANS — physical plan summaries of the headline queries\n")

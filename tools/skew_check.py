@@ -24,7 +24,7 @@ def main() -> None:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     hot_rows = int(sys.argv[2]) if len(sys.argv) > 2 else 100_000
-    spark = build_session(shuffle_partitions=16)
+    spark = build_session("local[8]", shuffle_partitions=16)
     checkpoint_dir(spark)
     h = fx.stored(spark, sf_dir, "histdata").withColumn(
         "card_id", F.when(F.col("l_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("card_id")))
