@@ -15,9 +15,12 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 CACHE = 800_000  # units, about 160 MB; half of them of the older generation
 LONG_UNIT = 2000  # longer units are not worth keeping
+RUN_CHARS = 8_000_000  # characters encoded at once (or one longer text)
 # Letters whose lower case is one letter and needs no context, then marks.
 _LATIN = re.compile(
     "([A-Za-zÀ-ÖØ-öø-\u012f\u0131-ɏ]+)([.,;:!?*#$%&|)(-]*)").fullmatch
@@ -83,7 +86,7 @@ class WordEncoder:
     def _unit(self, unit: str, cache: dict) -> bytes:
         """Ids of one unit. A Latin word with marks after it goes to the library's
         model as the two pieces that its pre-tokenizer makes of it, any other
-        unit through the whole library. Keys: see :meth:`_units`.
+        unit through the whole library. Keys: see :meth:`_spaced`.
         """
         lead, front, body = "", b"", unit
         if self.keeps_space:
@@ -106,29 +109,52 @@ class WordEncoder:
         ids = self._piece(head) if self.keeps_space and not lead else cache[head]
         return front + ids + self.tails[tail]
 
-    def _units(self, text: str) -> list[str]:
-        """Cache keys of a text's units: from the line end on, else without the
-        space in front (the first unit, which has none, is marked)."""
+    def _spaced(self, text: str) -> str:
+        """Cache keys of a text's units, with a space between: from the line end on,
+        else without the space in front (the first unit, which has none, is marked)."""
         if self.keeps_space:
-            return ("\x00" + text).replace("\n", " \n").split(" ")
+            return ("\x00" + text).replace("\n", " \n")
         try:
             text.encode("latin-1")
             text = text.lower()  # needs no context and no composition here
         except UnicodeEncodeError:
             pass
-        return text.replace("\n", " ").split(" ")
+        return text.replace("\n", " ")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text; null counts as empty."""
-        if len(self.cache) > CACHE // 2:
-            self.cache = _Units(self._unit, dict(self.cache))
-        look = self.cache.__getitem__
-        out = []
-        for t in texts:
+        out = [b""] * len(texts)
+        held, size = [], 0
+        for i, t in enumerate(texts):
             if not t:
-                out.append(b"")
-            elif self.keeps_space and ("\x00" in t or _DOUBTFUL(t)):
-                out.append(self._library([t])[0])
-            else:
-                out.append(b"".join(map(look, self._units(t))))
+                continue
+            if self.keeps_space and ("\x00" in t or _DOUBTFUL(t)):
+                out[i] = self._library([t])[0]
+                continue
+            held.append(i)
+            size += len(t)
+            if size >= RUN_CHARS:
+                self._encode_run(texts, held, out)
+                held, size = [], 0
+        if held:
+            self._encode_run(texts, held, out)
         return out
+
+    def _encode_run(self, texts: list, at: list[int], out: list[bytes]) -> None:
+        """Ids of the texts numbered ``at`` into ``out``: each distinct unit of the
+        run is looked up once, and the texts are put together from those ids."""
+        if len(self.cache) > CACHE // 2:
+            self.cache = _Units(self._unit, dict(self.cache))
+        units = pc.split_pattern(pa.array([self._spaced(texts[i]) for i in at],
+                                          pa.large_string()), " ")
+        coded = units.values.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = list(map(self.cache.__getitem__, distinct))
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        ids = pa.LargeListArray.from_arrays(
+            np.concatenate([[0], np.cumsum(sizes)]),
+            pa.array(np.frombuffer(b"".join(known), "<u4"))).take(coded.indices)
+        raw = memoryview(ids.values.to_numpy()).cast("B")
+        ends = (4 * ids.offsets.to_numpy()[units.offsets.to_numpy()]).tolist()
+        for k, i in enumerate(at):
+            out[i] = bytes(raw[ends[k]:ends[k + 1]])
