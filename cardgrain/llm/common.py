@@ -68,15 +68,16 @@ def words(text: str | None) -> list[bytes]:
 
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[dict[str, list]]], Iterable[dict]],
-              schema: str) -> DataFrame:
-    """``mapInArrow`` on plain column lists: ``fn`` gets and yields dicts of columns."""
+              schema: str, plain: bool = True) -> DataFrame:
+    """``mapInArrow`` on plain column lists: ``fn`` gets and yields dicts of columns
+    (``plain`` false: gets the record batches as they are)."""
     from pyspark.sql.types import _parse_datatype_string
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches):
-        for out in fn(b.to_pydict() for b in batches):
+        for out in fn((b.to_pydict() for b in batches) if plain else batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
 

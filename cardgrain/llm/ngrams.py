@@ -21,13 +21,15 @@ import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardgrain.llm import eliasfano
-from cardgrain.llm.common import arrow_map, materialize, shared_path, words
+from cardgrain.llm.common import arrow_map, materialize, shared_path
 from cardgrain.llm.eliasfano import EliasFano
 from cardgrain.llm.files import read_file, write_file
 
@@ -36,7 +38,7 @@ MIN_COUNT = 2  # of the n-grams of two and more words that are stored
 DISCOUNT = 0.5
 ADD = 0.1
 SHARD_TOKENS = 2_000_000  # training tokens for each file of a level
-FLUSH = 1_500_000  # tokens counted at once in a task
+FLUSH = 6_000_000  # bytes of text counted or scored at once in a task
 SCALE, ZERO = 6500.0, 65535  # quantised -log10
 MASK63 = np.uint64((1 << 63) - 1)
 MASK32 = np.uint64(0xFFFFFFFF)
@@ -44,13 +46,44 @@ SPACE63 = 1 << 63
 END = np.uint64(xxhash.xxh64_intdigest(b" ")) & MASK63  # no word has a space
 
 
-def tokens(text: str | None) -> np.ndarray:
-    """Hashes of a whole text's words (A-Z lower-cased), then the end."""
-    w = words(text)
-    h = np.empty(len(w) + 1, np.uint64)
-    h[:-1] = np.fromiter(map(xxhash.xxh64_intdigest, w), np.uint64, len(w)) & MASK63
-    h[-1] = END
-    return h
+@dataclass
+class Tokens:
+    """Words of a run of whole texts, each text's end after them: the ascending
+    ``distinct`` hashes, each token's place among them, each text's first token."""
+
+    distinct: np.ndarray
+    code: np.ndarray
+    first: np.ndarray
+
+    @property
+    def hashes(self) -> np.ndarray:
+        return self.distinct[self.code]
+
+    @property
+    def is_end(self) -> np.ndarray:
+        return self.code == np.searchsorted(self.distinct, END)
+
+
+def tokens(texts: pa.Array) -> Tokens:
+    """Tokens of whole texts (A-Z lower-cased, cut at ASCII white space; null:
+    empty); each distinct word is hashed once."""
+    texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    parts = pc.ascii_split_whitespace(texts)
+    coded = parts.flatten().dictionary_encode()
+    found = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    code = coded.indices.to_numpy()
+    stop = np.cumsum(pc.list_value_length(parts).to_numpy().astype(np.int64))
+    if "" in found:  # white space at either end of a text
+        word = code != found.index("")
+        stop = np.concatenate([[0], np.cumsum(word)])[stop]
+        code = code[word]
+    h = np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found)) & MASK63
+    distinct, place = np.unique(np.append(h, END), return_inverse=True)
+    code = np.insert(place[code], stop, place[-1])
+    used = np.bincount(code, minlength=len(distinct)) > 0  # "" is no word
+    if not used.all():
+        code, distinct = (np.cumsum(used) - 1)[code], distinct[used]
+    return Tokens(distinct, code, np.concatenate([[0], stop[:-1] + np.arange(1, len(stop))]))
 
 
 def deeper(context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -276,17 +309,16 @@ class Model:
     def base(self, count: np.ndarray) -> np.ndarray:
         return (count + ADD) / (self.total + ADD * (self.distinct + 1))
 
-    def grams(self, h: np.ndarray, upto: int):
+    def grams(self, t: Tokens, upto: int):
         """Per token: probability after each order, and the stored contexts.
 
         Yields (n, context keys, whether each token's n-1 words of context are
         one in the trie so far, counts) level by level, with the probability.
         """
-        word, back = np.unique(h, return_inverse=True)
-        count = self.count(word)[back]
-        p = self.base(count)
-        yield 1, None, None, count, p
-        is_end = h == END
+        h, is_end = t.hashes, t.is_end
+        count = self.count(t.distinct)
+        p = self.base(count)[t.code]
+        yield 1, None, None, count[t.code], p
         context = np.zeros(len(h), np.uint64)
         context[1:] = h[:-1]
         live = np.ones(len(h), bool)
@@ -312,28 +344,36 @@ class Model:
             context, live = grown, stored
 
 
-def _flushes(batches, column: str):
+def _flushes(batches):
+    """Runs of whole rows with ``FLUSH`` bytes of text, or one longer text."""
     held, size = [], 0
     for b in batches:
-        for text in b[column]:
-            t = tokens(text)
-            held.append(t)
-            size += len(t)
+        a = 0
+        lengths = pc.fill_null(pc.binary_length(b["text"]), 0).to_pylist()
+        for i, n in enumerate(lengths):
+            size += n
             if size >= FLUSH:
-                yield np.concatenate(held)
-                held, size = [], 0
+                yield pa.Table.from_batches([*held, b.slice(a, i + 1 - a)])
+                held, size, a = [], 0, i + 1
+        if a < len(lengths):
+            held.append(b.slice(a))
     if held:
-        yield np.concatenate(held)
+        yield pa.Table.from_batches(held)
+
+
+def _texts(run: pa.Table) -> pa.Array:
+    return pa.concat_arrays(c.cast(pa.large_string()) for c in run["text"].chunks)
 
 
 def _count_words(docs: DataFrame) -> DataFrame:
     def run(batches):
-        for h in _flushes(batches, "text"):
-            word, n = np.unique(h, return_counts=True)
+        for texts in _flushes(batches):
+            t = tokens(_texts(texts))
+            word, n = t.distinct, np.bincount(t.code)
             for i in range(0, len(word), 100_000):
                 yield {"h": word[i:i + 100_000].view(np.int64), "n": n[i:i + 100_000]}
 
-    return materialize(arrow_map(docs.select("text"), run, "h long, n long")
+    return materialize(arrow_map(docs.select("text"), run, "h long, n long", plain=False)
                        .groupBy("h").agg(F.sum("n").alias("n")), "words")
 
 
@@ -419,30 +459,42 @@ def _sum_entries(parts):
     return context[new], child[new], np.add.reduceat(count, new), ctx_count[new]
 
 
+def _count_pairs(t: Tokens, at: np.ndarray):
+    """Entries of level 2 (context, child, count, 0) for the tokens ``at``: the
+    place of a context among the distinct words stands for its hash in the key."""
+    low = t.distinct & MASK32
+    key, total = np.unique((t.code[at - 1].astype(np.uint64) << np.uint64(32)) | low[t.code[at]],
+                           return_counts=True)
+    context = t.distinct[(key >> np.uint64(32)).astype(np.int64)]
+    return context, key & MASK32, total, np.zeros(len(key), np.int64)
+
+
 def _gram_level(docs: DataFrame, model: Model, n: int, level: Level):
     """Level n from whole texts: tasks count n-grams whose parts are stored, one
     blob for each file they touch; a task for each file adds them up."""
     folder = shared_path(docs.sparkSession, f"level{n}")
 
     def count(batches):
-        for h in _flushes(batches, "text"):
+        for texts in _flushes(batches):
+            t = tokens(_texts(texts))
+            h, inner = t.hashes, ~t.is_end[:-1]
             if n == 2:
-                at = np.flatnonzero(h[:-1] != END) + 1
-                context, ctx_count = h[at - 1], np.zeros(len(at), np.int64)
+                at = np.flatnonzero(inner) + 1
+                entries = _count_pairs(t, at)
             else:
-                for m, keys, live, counts, _ in model.grams(h, n - 1):
+                for m, keys, live, counts, _ in model.grams(t, n - 1):
                     pass
                 if m < n - 1:
                     continue
                 # stored (context, word) pairs become contexts of the next word;
                 # the shorter n-gram that ends in the next word must be stored too
-                at = np.flatnonzero(live[:-1] & (counts[:-1] > 0) & (h[:-1] != END) &
-                                    (counts[1:] > 0)) + 1
-                context, ctx_count = deeper(keys[at - 1], h[at - 1]), counts[at - 1]
+                at = np.flatnonzero(live[:-1] & (counts[:-1] > 0) & inner & (counts[1:] > 0)) + 1
+                entries = len(at) and _sum_entries([(
+                    deeper(keys[at - 1], h[at - 1]), h[at] & MASK32,
+                    np.ones(len(at), np.int64), counts[at - 1])])
             if not len(at):
                 continue
-            context, child, total, ctx_count = _sum_entries([(
-                context, h[at] & MASK32, np.ones(len(at), np.int64), ctx_count)])
+            context, child, total, ctx_count = entries
             where = level.shard(context, child)
             cuts = np.flatnonzero(np.diff(where)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(where)]):
@@ -474,7 +526,7 @@ def _gram_level(docs: DataFrame, model: Model, n: int, level: Level):
                    "hot": [[(int(c), int(k)) for c, k in zip(
                        deeper(context[large], child[large]), total[large])]]}
 
-    blobs = arrow_map(docs.select("text"), count, "shard int, blob binary")
+    blobs = arrow_map(docs.select("text"), count, "shard int, blob binary", plain=False)
     made = arrow_map(
         blobs.repartition("shard").sortWithinPartitions("shard"), write,
         "shard int, path string, cut array<struct<c:long,u:double,k:long>>, "
@@ -517,31 +569,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     order = len(model.levels)
 
     def run(batches):
-        ids, held, size = [], [], 0
-
-        def scored():
-            h = np.concatenate(held)
-            n = np.array([len(x) for x in held])
-            first = np.cumsum(n) - n
-            for m, _, _, counts, p in model.grams(h, order):
+        for rows in _flushes(batches):
+            t = tokens(_texts(rows))
+            for m, _, _, counts, p in model.grams(t, order):
                 if m == 1:
-                    known = np.add.reduceat(counts > 0, first, dtype=np.int64)
-                    base = np.add.reduceat(np.log10(p), first)
-            return {"doc_id": ids, "n_tokens": n.tolist(), "n_known": known.tolist(),
-                    "train_tokens": [model.total] * len(ids), "base_score": base.tolist(),
-                    "score": np.add.reduceat(np.log10(p), first).tolist()}
-
-        for b in batches:
-            for doc_id, text in zip(b["doc_id"], b["text"]):
-                ids.append(doc_id)
-                held.append(tokens(text))
-                size += len(held[-1])
-                if size >= FLUSH:
-                    yield scored()
-                    ids, held, size = [], [], 0
-        if held:
-            yield scored()
+                    known = np.add.reduceat(counts > 0, t.first, dtype=np.int64)
+                    base = np.add.reduceat(np.log10(p), t.first)
+            yield {"doc_id": rows["doc_id"].to_pylist(),
+                   "n_tokens": np.diff(np.append(t.first, len(t.code))),
+                   "n_known": known, "train_tokens": [model.total] * len(rows),
+                   "base_score": base, "score": np.add.reduceat(np.log10(p), t.first)}
 
     return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), run,
                      "doc_id long, n_tokens long, n_known long, train_tokens long, "
-                     "base_score double, score double")
+                     "base_score double, score double", plain=False)
