@@ -472,3 +472,21 @@ def test_pieces_equal_the_library(spark, docs, empty):
         (r[0], r[1] or "") for r in docs.select("doc_id", "text").collect())
     assert piecetok.digests(docs, path).where("not round_trip").count() == 0
     assert piecetok.digests(empty, path).count() == 0
+
+
+def test_run_tokens_equal_words():
+    """Tokens of a run of texts: each text's words by the plain definition, then the end."""
+    import pyarrow as pa
+    import xxhash
+
+    from cardgrain.llm.common import words
+
+    texts = [None, "", " ", "a b a", "  x\ty\v\fz\r\n", "ÀB c d \x1c e\x85f", "a\x00b  c", "A" * 70, None]
+    for run in (texts, [None], ["", ""], [" q "]):
+        t = ngrams.tokens(pa.array(run, pa.string()))
+        each = [[*(xxhash.xxh64_intdigest(w) & int(ngrams.MASK63) for w in words(x)),
+                 int(ngrams.END)] for x in run]
+        assert t.hashes.tolist() == [h for x in each for h in x]
+        assert t.first.tolist() == [sum(map(len, each[:i])) for i in range(len(each))]
+        assert t.is_end.sum() == len(run)
+        assert len(set(t.code.tolist())) == len(t.distinct)
