@@ -6,9 +6,10 @@ are refined by joining neighbours of neighbours until few of them change. Two
 nodes are linked where their cosine, in double precision, is at least the
 threshold. A list whose entries all lie over the threshold is saturated: its
 node may have more links than the list holds, so the lists of its component
-are enlarged to the whole component, in blocks. An audit compares a sample of
-nodes with all others; while it finds too few of the links, new trees and
-refinements are added.
+are enlarged to the whole component, in blocks. An audit compares samples of
+nodes, inside and outside those components, with all others; while too many of
+them lack a link, new trees and refinements are added. If the passes run out,
+all nodes of a label are compared, block by block.
 """
 
 from __future__ import annotations
@@ -23,7 +24,10 @@ from cardgrain.llm.graph import connected_components
 LEAF = 64  # nodes a leaf has on average
 GROUP = 256  # larger groups are cut into parts of about this size
 BLOCK = 512
-AUDIT = 2048  # nodes of the audit sample
+AUDIT = 2048  # nodes of an audit sample
+EVIDENCE = 400  # audited nodes with a link that a verdict needs
+PER_COMPONENT = 32  # nodes that the audit takes of a component compared whole
+EXACT = 2048  # nodes of a block when all are compared
 
 
 def _unit(vecs) -> np.ndarray:
@@ -199,7 +203,7 @@ def _component_counts(nodes: DataFrame, roots: DataFrame, dense: DataFrame,
 
 def _audit(nodes: DataFrame, sample: DataFrame, threshold: float) -> DataFrame:
     """(nid, truth): for each sampled node the links it has among all nodes."""
-    got = sample.collect()  # AUDIT rows at most, by their hash
+    got = sample.collect()  # a few times AUDIT rows
     by: dict[tuple, tuple] = {}
     for key in {(r["label"], r["dim"]) for r in got}:
         rows = [r for r in got if (r["label"], r["dim"]) == key]
@@ -223,6 +227,84 @@ def _audit(nodes: DataFrame, sample: DataFrame, threshold: float) -> DataFrame:
                      "nid long, truth long").groupBy("nid").agg(F.sum("truth").alias("truth"))
 
 
+def _recalled(nodes: DataFrame, counted: DataFrame, roots: DataFrame, dense: DataFrame,
+              threshold: float, target: float, turn: int) -> bool:
+    """Whether ``target`` of the nodes that have links have all of them: once among
+    the nodes outside the components compared whole, once among a few nodes of each
+    such component. Samples are added until ``EVIDENCE`` nodes with links were seen
+    or every node was compared, so rare links are no proof of none."""
+    inside = roots.join(dense, "root").select(F.col("node").alias("nid"), "size")
+    every = materialize(nodes.select("nid").join(inside, "nid", "left"), "strata")
+    few = F.pmod(F.xxhash64("nid", F.lit(turn)), F.col("size")) < PER_COMPONENT
+    for part in (every.where("size is null"), every.where(few)):
+        samples = -(-part.count() // AUDIT)
+        bucket = F.pmod(F.xxhash64(F.lit(turn), "nid"), F.lit(max(1, samples)))
+        seen = whole = at = 0
+        take = 1
+        while at < samples and seen < EVIDENCE:
+            drawn = part.where((bucket >= at) & (bucket < at + take)).select("nid")
+            truth = _audit(nodes, nodes.join(drawn, "nid"), threshold).where("truth > 0")
+            all_found = F.coalesce("links", F.lit(0)) >= F.col("truth")
+            n, found = truth.join(counted, "nid", "left").agg(
+                F.count("*"), F.sum(all_found.cast("long"))).first()
+            seen, whole, at, take = seen + n, whole + (found or 0), at + take, min(2 * take, 4)
+        if whole < target * seen:
+            return False
+    return True
+
+
+def _all_pairs(nodes: DataFrame, threshold: float) -> DataFrame:
+    """(nid, other, links): all nodes of a label and length compared, in blocks. A
+    row for each node that has links in a pair of blocks: their number (copies
+    count each) and a node connected with it."""
+    sizes = nodes.groupBy("label", "dim").count().select(
+        F.col("label").alias("_label"), F.col("dim").alias("_dim"),
+        F.ceil(F.col("count") / EXACT).cast("int").alias("blocks"))
+    rows = nodes.join(sizes, (F.col("label") == F.col("_label")) & (F.col("dim") == F.col("_dim"))) \
+        .withColumn("block", F.pmod(F.xxhash64("nid"), "blocks").cast("int"))
+    # a block meets itself (side 0), the later blocks (1) and the earlier ones (2)
+    met = rows.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members = met.select(
+        F.concat_ws("|", "label", "dim", F.least("block", "met"), F.greatest("block", "met")).alias("grp"),
+        "nid", "copies", "vec",
+        F.when(F.col("met") == F.col("block"), 0).when(F.col("met") > F.col("block"), 1)
+        .otherwise(2).alias("side"))
+
+    def run(batches):
+        for _, g in _runs(batches, "grp"):
+            side = np.array(g["side"])
+            v, ids = _unit(g["vec"]), np.array(g["nid"], np.int64)
+            weight = np.array(g["copies"], np.float64)
+            m, o = np.flatnonzero(side < 2), np.flatnonzero(side != 1)
+            linked = (v[m] @ v[o].T >= threshold) & (ids[m][:, None] != ids[o][None, :])
+            rows, cols = linked.any(1), linked.any(0)
+            m, o, linked = m[rows], o[cols], linked[rows][:, cols]
+            if not len(m):
+                continue
+            mine, theirs = _bipartite_roots(linked)
+            yield {"nid": ids[m].tolist(), "other": ids[m[mine]].tolist(),
+                   "links": (linked @ weight[o]).astype(np.int64).tolist()}
+            both = weight[m] @ linked if side.any() else np.zeros(len(o))
+            yield {"nid": ids[o].tolist(), "other": ids[m[theirs]].tolist(),
+                   "links": both.astype(np.int64).tolist()}
+
+    return arrow_map(members.repartition("grp").sortWithinPartitions("grp"), run,
+                     "nid long, other long, links long")
+
+
+def _bipartite_roots(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row and each column of a table of links (each has one), the
+    smallest row that it reaches."""
+    mine, none = np.arange(len(linked), dtype=np.int32), np.int32(len(linked))
+    while True:
+        theirs = np.where(linked, mine[:, None], none).min(0)
+        nxt = np.where(linked, theirs[None, :], none).min(1)
+        nxt = nxt[nxt]
+        if (nxt == mine).all():
+            return mine, theirs
+        mine = nxt
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, trees: int = 8,
                     rounds: int = 2, target: float = 0.98, max_passes: int = 6) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors``
@@ -234,8 +316,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, tre
     rows of one vec_id are one vector. A row without vec_id links with
     nothing and has no component; an empty table gives no rows; other columns
     are not read. ``component_id`` is the smallest vec_id reachable, ``kept``
-    marks the row that has it. Passes end when the audit finds ``target`` of
-    the sample's links, at ``max_passes`` at the latest.
+    marks the row that has it. Passes end when the audit finds all links of
+    ``target`` of the nodes that have any; after ``max_passes`` without that,
+    all nodes are compared.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
                           F.col("embedding").cast("array<double>").alias("vec"),
@@ -255,8 +338,6 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, tre
             F.lit(0), F.ceil(F.log2(F.col("count") / LEAF))).cast("int").alias("bits"))
     nodes = materialize(nodes.join(sizes, (F.col("label") == F.col("_label")) & (
         F.col("dim") == F.col("_dim"))).drop("_label", "_dim"), "nodes")
-    sample = nodes.orderBy(F.xxhash64("nid")).limit(AUDIT)
-    truth = materialize(_audit(nodes, sample, threshold).where("truth > 0"), "truth")
 
     graph = links = joined = counted = None
     for turn in range(max_passes):
@@ -280,11 +361,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, tre
             found = nxt_found
         roots = materialize(connected_components(
             links.select("a", "b").unionByName(joined), "a", "b"), "roots")
-        counted = materialize(_counts(nodes, links, roots, k, threshold), "counts")
-        seen = truth.join(counted, "nid", "left").agg(
-            F.sum("truth"), F.sum(F.least(F.coalesce("links", F.lit(0)), "truth"))).first()
-        if not seen[0] or seen[1] >= target * seen[0]:
+        counts, dense = _counts(nodes, links, roots, k, threshold)
+        counted = materialize(counts, "counts")
+        if _recalled(nodes, counted, roots, dense, threshold, target, turn):
             break
+    else:
+        whole = materialize(_all_pairs(nodes, threshold), "whole")
+        roots = materialize(connected_components(whole, "nid", "other"), "roots")
+        counted = materialize(whole.groupBy("nid").agg(F.sum("links").alias("links")), "counts")
 
     linked = nodes.select("nid", "copies", "low").join(counted, "nid", "left").join(
         roots.withColumnRenamed("node", "nid"), "nid", "left").select(
@@ -306,9 +390,9 @@ def _best_links(edges: DataFrame) -> DataFrame:
 
 
 def _counts(nodes: DataFrame, links: DataFrame, roots: DataFrame, k: int,
-            threshold: float) -> DataFrame:
+            threshold: float) -> tuple[DataFrame, DataFrame]:
     """(nid, links): from the lists, or, in components with a saturated list,
-    from the whole component."""
+    from the whole component; and those components (root, size)."""
     ends = links.select("a", "b").unionByName(links.select(
         F.col("b").alias("a"), F.col("a").alias("b")))
     degree = ends.groupBy("a").count()
@@ -321,4 +405,4 @@ def _counts(nodes: DataFrame, links: DataFrame, roots: DataFrame, k: int,
     few = sparse.select("a", "b").join(nodes.select(F.col("nid").alias("n"), "copies"),
                                        F.col("b") == F.col("n")) \
         .groupBy(F.col("a").alias("nid")).agg(F.sum("copies").alias("links"))
-    return few.unionByName(_component_counts(nodes, roots, dense, threshold))
+    return few.unionByName(_component_counts(nodes, roots, dense, threshold)), dense

@@ -427,6 +427,49 @@ def test_vector_links_match_brute_force(spark):
     assert nndescent.near_duplicates(df.where("false")).count() == 0
 
 
+def brute_links(e, threshold=0.93):
+    e = e.astype(np.float32).astype(np.float64)
+    e /= np.linalg.norm(e, axis=1, keepdims=True)
+    near = e @ e.T >= threshold
+    np.fill_diagonal(near, False)
+    return near
+
+
+def test_vector_links_beside_a_dense_group(spark):
+    """Missed pairs outside a dense group are seen by the audit; when the passes
+    run out all nodes are compared."""
+    rng = np.random.default_rng(3)
+    group = rng.normal(size=32) + rng.normal(size=(500, 32)) * 0.05
+    one = rng.normal(size=(400, 32))
+    e = np.concatenate([group, one, one + rng.normal(size=one.shape) * 0.3])
+    near = brute_links(e)
+    df = spark.createDataFrame([(i, [float(x) for x in v], "a") for i, v in enumerate(e)],
+                               "vec_id long, embedding array<float>, label string")
+    got = {r["vec_id"]: r for r in nndescent.near_duplicates(
+        df, trees=1, rounds=0, max_passes=1).collect()}
+    assert near[500:].any() and [got[i]["n_links"] for i in range(len(e))] == near.sum(1).tolist()
+    comp = components(list(range(len(e))), lambda i, j: near[i, j])
+    assert all(got[i]["component_id"] == comp[i] for i in comp)
+
+
+def test_vector_audit_goes_on_until_it_sees_links(spark, monkeypatch):
+    """One link that no tree finds, in far more nodes than a sample has."""
+    monkeypatch.setattr(nndescent, "AUDIT", 8)
+    rng = np.random.default_rng(4)
+    e = rng.normal(size=(600, 32))
+    e[599] = e[0] + rng.normal(size=32) * 0.3
+    near = brute_links(e)
+    assert near.sum() == 2
+    df = spark.createDataFrame([(i, [float(x) for x in v], "a") for i, v in enumerate(e)],
+                               "vec_id long, embedding array<float>, label string")
+    nothing = lambda *_: spark.createDataFrame([], "a long, b long, sim double")
+    monkeypatch.setattr(nndescent, "_join_groups", nothing)
+    got = {r["vec_id"]: r for r in nndescent.near_duplicates(
+        df, trees=1, rounds=0, max_passes=1).collect()}
+    assert [got[i]["n_links"] for i in range(len(e))] == near.sum(1).tolist()
+    assert got[599]["component_id"] == 0
+
+
 # -- urls -------------------------------------------------------------------
 
 @pytest.mark.parametrize("limit", [200_000, 0])
