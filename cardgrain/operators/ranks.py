@@ -99,6 +99,32 @@ def dense_rank_codes(df: DataFrame, col: str, name: str | None = None,
     return out.drop("_v")
 
 
+def value_positions(df: DataFrame, group: Sequence[str], col: str,
+                    partitions: int | None = None) -> DataFrame:
+    """(*group, col, _before, _n): each distinct value with its rows and the rows
+    of smaller values in its group. Rows are counted by value first (partial
+    sums), so a value that most rows share is one row before any range cut."""
+    group = list(group)
+    counts = df.filter(F.col(col).isNotNull()).groupBy(*group, col).agg(F.count(F.lit(1)).alias("_n"))
+    keyed = partition_positions(counts, [*group, col], partitions)
+    inner = Window.partitionBy("_pid", *group).orderBy("_loc").rowsBetween(Window.unboundedPreceding, -1)
+    outer = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    seg = keyed.groupBy("_pid", *group).agg(F.sum("_n").alias("_all")).withColumn(
+        "_off", F.coalesce(F.sum("_all").over(outer), F.lit(0)))
+    seg = seg.select(F.col("_pid").alias("_s_pid"), "_off", *[F.col(g).alias(f"_s_{g}") for g in group])
+    keyed = keyed.withColumn("_in", F.coalesce(F.sum("_n").over(inner), F.lit(0)))
+    cond = F.col("_pid") == F.col("_s_pid")
+    for g in group:
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_s_{g}"))
+    return keyed.join(seg, cond).select(*group, col, (F.col("_off") + F.col("_in")).alias("_before"), "_n")
+
+
+def value_ranks(df: DataFrame, col: str, partitions: int | None = None) -> DataFrame:
+    """(col, _rank): average rank of each distinct value."""
+    return value_positions(df, [], col, partitions).select(
+        col, (F.col("_before") + (F.col("_n") + 1) / 2.0).alias("_rank"))
+
+
 def average_ranks(df: DataFrame, col: str, name: str | None = None,
                   partitions: int | None = None) -> DataFrame:
     """Rank of each row's value with ties sharing their average rank.
@@ -107,33 +133,32 @@ def average_ranks(df: DataFrame, col: str, name: str | None = None,
     """
     name = name or f"{col}_rank"
     base = df.filter(F.col(col).isNotNull())
-    pos = global_positions(base.select(col), [col], "_p", partitions)
-    ties = pos.groupBy(col).agg(((F.min("_p") + F.max("_p")) / 2.0).alias(name))
-    return base.join(ties, col, "left")
+    return base.join(value_ranks(base, col, partitions).withColumnRenamed("_rank", name), col, "left")
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                     group: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
     """Linear-interpolated quantiles (R type 7 / ``quantile_cont``), per group.
 
-    Returns ``(*group, prob, value)``. Only the two rows around each wanted
-    position leave the positioned data; the wanted-positions table has
+    Returns ``(*group, prob, value)``. Only the two values around each wanted
+    position leave the counted values; the wanted-positions table has
     groups x probs x 2 rows.
     """
     group = list(group)
     base = df.select(*group, col).filter(F.col(col).isNotNull())
-    pos = group_positions(base, group, [col], "_p", partitions)
+    pos = value_positions(base, group, col, partitions)
     n = base.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    n = n.withColumnRenamed("_n", "_rows")
     h = n.withColumn("prob", F.explode(F.array(*[F.lit(float(q)) for q in probs])))
-    h = h.withColumn("_h", (F.col("_n") - 1) * F.col("prob") + 1)
+    h = h.withColumn("_h", (F.col("_rows") - 1) * F.col("prob") + 1)
     h = h.withColumns({"_lo": F.floor("_h"), "_hi": F.ceil("_h")})
     renamed = [F.col(g).alias(f"_w_{g}") for g in group]
     want = h.select(*renamed, "prob", "_h", "_lo", F.col("_lo").alias("_at")).unionByName(
         h.select(*renamed, "prob", "_h", "_lo", F.col("_hi").alias("_at")))
-    cond = F.col("_p") == F.col("_at")
+    cond = (F.col("_at") > F.col("_before")) & (F.col("_at") <= F.col("_before") + F.col("_n"))
     for g in group:
         cond = cond & F.col(g).eqNullSafe(F.col(f"_w_{g}"))
-    hit = pos.select(*group, "_p", F.col(col).alias("_v")).join(want, cond, "inner").select(
+    hit = pos.select(*group, "_before", "_n", F.col(col).alias("_v")).join(want, cond, "inner").select(
         *[F.col(f"_w_{g}").alias(g) for g in group], "prob", "_h", "_lo", "_at", "_v")
     agg = hit.groupBy(*group, "prob", "_h", "_lo").agg(
         F.min_by("_v", "_at").alias("_vlo"), F.max_by("_v", "_at").alias("_vhi"))

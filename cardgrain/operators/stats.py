@@ -15,7 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardgrain.operators.ranks import exact_quantiles
+from cardgrain.operators.ranks import exact_quantiles, value_ranks
+from cardgrain.session import reliable_checkpoint
 
 
 # ---------------------------------------------------------------------------
@@ -212,19 +213,29 @@ def kernel_density(long: DataFrame, lower: float = 0.0, upper: float = 5.0,
 def spearman_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Spearman correlation of every pair of columns, long form (a, b, rho).
 
-    Uses Spark ML's distributed Spearman (global sort per column, average
-    ranks for ties). The k x k result is bounded by the column count.
+    Average ranks come from the counts of each column's distinct values, and
+    one aggregate takes the moments of all pairs. A column with one value, or
+    with a missing one, has no correlation.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
     cols = list(columns)
-    vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(
-        df.select(*[F.col(c).cast("double") for c in cols])).select("_v")
-    m = Correlation.corr(vec, "_v", "spearman").first()[0].toArray()
-    rows = [(a, b, None if math.isnan(m[i, j]) else float(m[i, j]))
-            for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, rho double")
+    values = [F.col(c).cast("double") for c in cols]
+    ranked = reliable_checkpoint(df.select(*[
+        F.when(~F.isnan(v), v).alias(f"_v{i}") for i, v in enumerate(values)]))
+    for i in range(len(cols)):
+        ties = value_ranks(ranked, f"_v{i}").select(
+            F.col(f"_v{i}").alias("_of"), F.col("_rank").alias(f"_r{i}"))
+        ranked = ranked.join(ties, F.col(f"_v{i}") == F.col("_of"), "left").drop("_of")
+    pairs = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            x, y = F.col(f"_r{min(i, j)}"), F.col(f"_r{max(i, j)}")
+            sound = ((F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0)
+                     & (F.count(x) == F.count(F.lit(1))) & (F.count(y) == F.count(F.lit(1))))
+            rho = F.lit(1.0) if i == j else F.try_divide(
+                F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+            pairs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
+                                  F.when(sound, rho).alias("rho")))
+    return ranked.agg(F.array(*pairs).alias("_p")).select(F.inline("_p"))
 
 
 def rmse(df: DataFrame, label: str, prediction: str) -> DataFrame:

@@ -73,3 +73,19 @@ def test_positions_are_a_permutation_per_group(spark, keys):
     for g, items in by_g.items():
         items.sort()
         assert [p for _, p in items] == list(range(1, len(items) + 1))
+
+
+def test_spearman_counts_a_common_value_once(spark):
+    """Two thirds of the rows share a value: only distinct values are positioned,
+    and no row-by-row ranking is asked of Spark ML."""
+    import inspect
+
+    from cardgrain.operators import stats
+    df = spark.createDataFrame([(float(i) if i % 3 == 0 else 7.0, float(i * i % 11), 1.0)
+                                for i in range(90)], "x double, y double, one double")
+    assert ranks.value_positions(df, [], "x").count() == df.select("x").distinct().count()
+    assert "Correlation" not in inspect.getsource(stats.spearman_long)
+    got = {(r["col_a"], r["col_b"]): r["rho"] for r in stats.spearman_long(df, ["x", "y", "one"]).collect()}
+    want = df.toPandas()[["x", "y"]].corr(method="spearman").loc["x", "y"]
+    assert got["x", "x"] == 1.0 and abs(got["x", "y"] - want) < 1e-9 and got["y", "x"] == got["x", "y"]
+    assert got["x", "one"] is None and got["one", "one"] is None
