@@ -1,8 +1,7 @@
 """Language-model scoring with an n-gram trie in Elias-Fano levels.
 
 Level 1 holds every training word (its 63-bit hash) and its count. Level n
-holds, for every context of n-1 words, the words that followed it at least
-``MIN_COUNT`` times: contexts as an Elias-Fano sequence, monotone pointers to
+holds, for every context of n-1 words, the words that followed it: contexts as an Elias-Fano sequence, monotone pointers to
 each context's children, and the children as 32-bit word hashes relative to
 their context (context rank, then hash: one ascending sequence), beside a
 quantised discounted probability for each child and a quantised rest for each
@@ -34,7 +33,6 @@ from cardgrain.llm.eliasfano import EliasFano
 from cardgrain.llm.files import read_file, write_file
 
 ORDER = 3
-MIN_COUNT = 2  # of the n-grams of two and more words that are stored
 DISCOUNT = 0.5
 ADD = 0.1
 SHARD_TOKENS = 2_000_000  # training tokens for each file of a level
@@ -504,10 +502,6 @@ def _gram_level(docs: DataFrame, model: Model, n: int, level: Level):
     def write(batches):
         for s, rows in _by_shard(batches, "blob"):
             context, child, total, ctx_count = _sum_entries([_unblob(x) for x in rows["blob"]])
-            keep = total >= MIN_COUNT
-            context, child, total, ctx_count = (x[keep] for x in (context, child, total, ctx_count))
-            if not len(context):
-                continue
             distinct, first = np.unique(context, return_index=True)
             if n == 2:
                 of = model.count(distinct)

@@ -395,6 +395,17 @@ def test_token_files(docs, empty):
     assert wavelet.read_digests(wavelet.write_shards(empty, path, 2)).count() == 0
 
 
+def test_ngrams_seen_once_are_stored(spark):
+    import pyarrow as pa
+
+    docs = spark.createDataFrame([(1, "a b c"), (2, "a b d"), (3, None)], "doc_id long, text string")
+    model = ngrams.learn(docs)
+    t = ngrams.tokens(pa.array(["b c a", "a b c"]))
+    counts = {n: c.tolist() for n, _, _, c, _ in model.grams(t, 3)}
+    assert counts[2] == [0, 1, 0, 0, 0, 2, 1, 1]
+    assert counts[3] == [0, 0, 0, 0, 0, 0, 1, 1]
+
+
 # -- vectors ----------------------------------------------------------------
 
 def test_vector_links_match_brute_force(spark):
