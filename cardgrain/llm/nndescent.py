@@ -4,9 +4,9 @@ Equal vectors of a label are one node. Every node starts with the nearest
 nodes it shares leaves of random-hyperplane trees with; then neighbour lists
 are refined by joining neighbours of neighbours until few of them change. Two
 nodes are linked where their cosine, in double precision, is at least the
-threshold. A list whose entries all lie over the threshold is saturated: its
-node may have more links than the list holds, so the lists of its component
-are enlarged to the whole component, in blocks. An audit compares samples of
+threshold. A list holds only so many links and may miss some among nodes known
+to be connected, so every component of three or more nodes is compared whole,
+in blocks. An audit compares samples of
 nodes, inside and outside those components, with all others; while too many of
 them lack a link, new trees and refinements are added. If the passes run out,
 all nodes of a label are compared, block by block.
@@ -361,7 +361,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, tre
             found = nxt_found
         roots = materialize(connected_components(
             links.select("a", "b").unionByName(joined), "a", "b"), "roots")
-        counts, dense = _counts(nodes, links, roots, k, threshold)
+        counts, dense = _counts(nodes, links, roots, threshold)
         counted = materialize(counts, "counts")
         if _recalled(nodes, counted, roots, dense, threshold, target, turn):
             break
@@ -389,17 +389,12 @@ def _best_links(edges: DataFrame) -> DataFrame:
         .groupBy("a", "b").agg(F.max("sim").alias("sim"))
 
 
-def _counts(nodes: DataFrame, links: DataFrame, roots: DataFrame, k: int,
-            threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(nid, links): from the lists, or, in components with a saturated list,
-    from the whole component; and those components (root, size)."""
+def _counts(nodes: DataFrame, links: DataFrame, roots: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(nid, links): from the lists, or, in components of three or more nodes, from
+    the whole component; and those components (root, size)."""
     ends = links.select("a", "b").unionByName(links.select(
         F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = ends.groupBy("a").count()
-    full = roots.join(degree.where(F.col("count") >= k), F.col("node") == F.col("a")) \
-        .select("root").distinct()
-    dense = roots.groupBy("root").agg(F.count("*").alias("size")).join(full, "root")
-    dense = materialize(dense, "dense")
+    dense = materialize(roots.groupBy("root").agg(F.count("*").alias("size")).where("size > 2"), "dense")
     sparse = ends.join(roots.select("node", "root"), F.col("a") == F.col("node")).join(
         dense.select("root"), "root", "left_anti")
     few = sparse.select("a", "b").join(nodes.select(F.col("nid").alias("n"), "copies"),
