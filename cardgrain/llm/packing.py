@@ -96,7 +96,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 2048,
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document's ids are those of the tokenizer file for its whole text
-    (special tokens' names are ordinary text), then ``end_id``; null and empty
+    (special tokens' names are those tokens, as the library reads them), then ``end_id``; null and empty
     texts have that id alone. Documents may be cut anywhere; each id lies in
     exactly one piece and a sequence holds ``capacity`` ids at most, gapless
     from offset 0. Repeated rows are packed once each; a null doc_id stays

@@ -5,7 +5,7 @@ single spaces and line ends before they look any further, so the ids of a text
 are the ids of such units end to end. A unit not seen before goes through the
 library; the others come from a bounded per-worker cache. A text in which a
 space or line end touches white space on both sides (where a cut could change
-the units) goes through the library whole.
+the units) goes through the library whole, and so does one with an added token.
 """
 
 from __future__ import annotations
@@ -63,12 +63,14 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
             kind = json.load(f)
         # A byte-level tokenizer keeps the space in front of a word; one that
         # drops white space sees the words alone, in lower case.
+        # A text with an added token's content goes through the library whole.
+        added = [re.escape(t["content"]) for t in kind.get("added_tokens") or [] if t["content"]]
+        self.added = re.compile("|".join(added), re.IGNORECASE).search if added else lambda _: None
         self.keeps_space = kind["pre_tokenizer"]["type"] == "ByteLevel"
         self.line_end = self._library(["\n"])[0]
         self.tails: dict[str, bytes] = {}
@@ -128,7 +130,7 @@ class WordEncoder:
         for i, t in enumerate(texts):
             if not t:
                 continue
-            if self.keeps_space and ("\x00" in t or _DOUBTFUL(t)):
+            if self.added(t) or self.keeps_space and ("\x00" in t or _DOUBTFUL(t)):
                 out[i] = self._library([t])[0]
                 continue
             held.append(i)
