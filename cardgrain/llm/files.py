@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import mmap
 import os
+import uuid
 
 import pyarrow as pa
 from pyarrow import fs
@@ -30,6 +31,18 @@ def write_file(uri: str, data: bytes) -> None:
         f.write(data)
 
 
+def publish_file(uri: str, data: bytes) -> None:
+    """Write one file whose content does not depend on the attempt: readers see a
+    whole file, also while a repeated task replaces it."""
+    path = _local(uri)
+    if path is None:
+        write_file(uri, data)
+        return
+    aside = f"{path}.{uuid.uuid4().hex}"
+    write_file(aside, data)
+    os.replace(aside, path)
+
+
 def read_file(uri: str) -> memoryview:
     """A file's bytes: memory-mapped where the shared folder is mounted, else read."""
     path = _local(uri)

@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardgrain.llm import langid, ngrams, nndescent, packing, piecetok, quality, simhash, sketch, urlfilter, wavelet
+from cardgrain.llm import exactdup, langid, ngrams, nndescent, packing, piecetok, quality, simhash, sketch, urlfilter, wavelet
 from cardgrain.llm.common import fold, prepare
 
 QUERIES = {}
@@ -106,6 +106,11 @@ def op10_pieces(spark, sf_dir):
                             tokenizer_path("piece_bpe_32k.model"))
 
 
+@query
+def op11_exact_copies(spark, sf_dir):
+    return exactdup.find(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
@@ -113,4 +118,4 @@ def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
-ORACLES = {"op9_url_rules": urlfilter.ORACLE}
+ORACLES = {"op9_url_rules": urlfilter.ORACLE, "op11_exact_copies": exactdup.ORACLE}
