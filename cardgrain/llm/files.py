@@ -54,3 +54,13 @@ def read_file(uri: str) -> memoryview:
     system, path = fs.FileSystem.from_uri(uri)
     with system.open_input_file(path) as f:
         return memoryview(pa.py_buffer(f.read()))
+
+
+def read_spans(uri: str, spans: list[tuple[int, int]]) -> list[memoryview]:
+    """Parts (offset, length) of a file; nothing else of it is read."""
+    if _local(uri) is not None:
+        whole = read_file(uri)
+        return [whole[at:at + n] for at, n in spans]
+    system, path = fs.FileSystem.from_uri(uri)
+    with system.open_input_file(path) as f:
+        return [memoryview(f.read_at(n, at)) for at, n in spans]

@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardgrain.llm import exactdup, langid, ngrams, nndescent, packing, piecetok, quality, simhash, sketch, urlfilter, wavelet
+from cardgrain.llm import convtrie, exactdup, langid, ngrams, nndescent, packing, piecetok, quality, simhash, sketch, urlfilter, vafile, wavelet
 from cardgrain.llm.common import fold, prepare
 
 QUERIES = {}
@@ -111,6 +111,16 @@ def op11_exact_copies(spark, sf_dir):
     return exactdup.find(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return convtrie.shared_prefixes(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_clusters(spark, sf_dir):
+    return vafile.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5)
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
@@ -118,4 +128,5 @@ def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
-ORACLES = {"op9_url_rules": urlfilter.ORACLE, "op11_exact_copies": exactdup.ORACLE}
+ORACLES = {"op9_url_rules": urlfilter.ORACLE, "op11_exact_copies": exactdup.ORACLE,
+           "op12_prefix_trie": convtrie.ORACLE, "op13_clusters": vafile.oracle()}
