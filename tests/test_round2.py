@@ -80,19 +80,18 @@ def test_boosting_grows_trees_and_learns(spark):
                                  (F.col("id") % 5).cast("double").alias("b")).withColumn(
         "target", F.col("a") * 0.5 - F.col("b"))
     model = models.fit_gbt(df, rounds=12)
-    assert len(model.stages[-1].trees) == 12
+    assert len(model.trees) == 12
     pred = models.score(model, df, keep=("target",))
     sd, rmse = pred.agg(F.stddev_pop("target"), F.sqrt(F.avg(F.pow(F.col("target") - F.col("prediction"), 2)))).first()
     assert rmse < 0.7 * sd
-    assert 1 <= models.best_round(model, df, patience=3) <= 12
 
 
-def test_cut_model_equals_one_trained_for_fewer_rounds(spark):
+def test_first_rounds_equal_a_model_trained_for_them(spark):
     df = spark.createDataFrame([(str(i), float(i % 7), float((i * i) % 5)) for i in range(80)],
                                "card_id string, target double, x double")
-    cut = models.cut_to(models.fit_gbt(df, rounds=6), 2)
+    cut = models.fit_gbt(df, rounds=6).first(2)
     few = models.fit_gbt(df, rounds=2)
-    assert cut.stages[-1].getNumTrees == 2
+    assert len(cut.trees) == 2
     assert sorted(models.score(cut, df).collect()) == sorted(models.score(few, df).collect())
 
 
@@ -104,11 +103,10 @@ def test_registered_models_train_the_library_rounds(spark, monkeypatch):
     monkeypatch.setattr(Q, "_MODELS", {})
     monkeypatch.setattr(Q, "_table", lambda *_: table)
     monkeypatch.setattr(models, "score", lambda model, *_, **__: model)
-    monkeypatch.setattr(models, "best_round", lambda *_, **__: 700)
-    monkeypatch.setattr(models, "cut_to", lambda model, n: (model, n), raising=False)
     for name in ("fit_gbt", "fit_rf"):
         monkeypatch.setattr(models, name, lambda *_, **kw: asked.append(kw) or "model")
     Q.model_gbt(spark, "d")
     Q.model_rf(spark, "d")
-    assert Q._deep_test_predictions(spark, "d") == ("model", 700)
-    assert asked == [{}, {}, {"deep": True}]
+    assert Q._deep_test_predictions(spark, "d") == "model"
+    assert asked == [{}, {}, {"deep": True, "patience": 50}]
+    assert models.GBT_DEEP.rounds == 1000 and models.GBT_FAST.rounds == 500
