@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from cardgrain.session import reliable_checkpoint
 
 _LOW33 = (1 << 33) - 1
+WANTED_ROWS = 100_000
 
 
 def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -105,7 +106,14 @@ def value_positions(df: DataFrame, group: Sequence[str], col: str,
     of smaller values in its group. Rows are counted by value first (partial
     sums), so a value that most rows share is one row before any range cut."""
     group = list(group)
-    counts = df.filter(F.col(col).isNotNull()).groupBy(*group, col).agg(F.count(F.lit(1)).alias("_n"))
+    return count_positions(df.filter(F.col(col).isNotNull()).groupBy(*group, col).agg(
+        F.count(F.lit(1)).alias("_n")), group, col, partitions)
+
+
+def count_positions(counts: DataFrame, group: Sequence[str], col: str,
+                    partitions: int | None = None) -> DataFrame:
+    """:func:`value_positions` from values that are counted (``_n``) already."""
+    group = list(group)
     keyed = partition_positions(counts, [*group, col], partitions)
     inner = Window.partitionBy("_pid", *group).orderBy("_loc").rowsBetween(Window.unboundedPreceding, -1)
     outer = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -142,7 +150,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
 
     Returns ``(*group, prob, value)``. Only the two values around each wanted
     position leave the counted values; the wanted-positions table has
-    groups x probs x 2 rows.
+    groups x probs x 2 rows. It is broadcast where that is known to be at most
+    ``WANTED_ROWS`` (counted if there is a group), so that no group's values meet
+    in one task; more groups than that are joined by a shuffle on the group.
     """
     group = list(group)
     base = df.select(*group, col).filter(F.col(col).isNotNull())
@@ -155,6 +165,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     renamed = [F.col(g).alias(f"_w_{g}") for g in group]
     want = h.select(*renamed, "prob", "_h", "_lo", F.col("_lo").alias("_at")).unionByName(
         h.select(*renamed, "prob", "_h", "_lo", F.col("_hi").alias("_at")))
+    if not group or len(probs) * 2 * n.count() <= WANTED_ROWS:
+        want = F.broadcast(want)
     cond = (F.col("_at") > F.col("_before")) & (F.col("_at") <= F.col("_before") + F.col("_n"))
     for g in group:
         cond = cond & F.col(g).eqNullSafe(F.col(f"_w_{g}"))

@@ -12,10 +12,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardgrain.operators.ranks import exact_quantiles, value_ranks
+from cardgrain.operators.ranks import count_positions, exact_quantiles
 from cardgrain.session import reliable_checkpoint
 
 
@@ -83,53 +84,25 @@ def equal_bins(df: DataFrame, col: str, bins: int = 100) -> DataFrame:
     return _binned(df, col, origin, width, nbins, 1e-08 * width, n)
 
 
-def pretty_breaks(lo: float, hi: float, n: int = 100, min_n: int = 1) -> tuple[float, float, float]:
-    """(first break, last break, unit) of "pretty" equally spaced breaks that
-    cover [lo, hi] with about ``n`` intervals of width 1, 2 or 5 x 10^k."""
-    # The bias factors and tolerance of the pretty-break rule.
-    h, h5, rounding_eps = 1.5, 0.5 + 1.5 * 1.5, 1e-10
-    dx = hi - lo
-    if dx == 0 and hi == 0:
-        cell, small = 1.0, True
-    else:
-        cell = max(abs(lo), abs(hi))
-        u = 1 + (1 / (1 + h) if h5 >= 1.5 * h + 0.5 else 1.5 / (1 + h5))
-        u *= max(1, n) * np.finfo(float).eps
-        small = dx < cell * u * 3
-    if small:
-        if cell > 10:
-            cell = 9 + cell / 10
-        cell *= 0.75
-        if min_n > 1:
-            cell /= min_n
-    else:
-        cell = dx
-        if n > 1:
-            cell /= n
-    base = 10.0 ** math.floor(math.log10(cell))
-    unit = base
-    if 2 * base - cell < h * (cell - unit):
-        unit = 2 * base
-        if 5 * base - cell < h5 * (cell - unit):
-            unit = 5 * base
-            if 10 * base - cell < h * (cell - unit):
-                unit = 10 * base
-    ns = math.floor(lo / unit + rounding_eps)
-    nu = math.ceil(hi / unit - rounding_eps)
-    while ns * unit > lo + rounding_eps * unit:
-        ns -= 1
-    while nu * unit < hi - rounding_eps * unit:
-        nu += 1
-    k = int(0.5 + nu - ns)
-    if k < min_n:
-        k = min_n - k
-        if ns >= 0:
-            nu += k // 2
-            ns -= k // 2 + k % 2
-        else:
-            ns -= k // 2
-            nu += k // 2 + k % 2
-    return ns * unit, nu * unit, unit
+# The multiple of a power of ten that is a break width, and the least
+# multiple of that power that the wanted width must exceed for it to be taken.
+PRETTY_UNITS = ((10, 7.0), (5, 2.8), (2, 1.4), (1, 0.0))
+
+
+def pretty_breaks(lo: float, hi: float, n: int = 100) -> tuple[float, float, float]:
+    """(first break, last break, width) of equally spaced "pretty" breaks covering [lo, hi].
+
+    The width is 1, 2, 5 or 10 times a power of ten, near the range over ``n``;
+    breaks are its multiples. Without a range there is one interval, of a width near
+    the value over ``n`` (the value 0: 1).
+    """
+    wanted = hi / n - lo / n
+    if wanted <= max(abs(lo), abs(hi)) * np.finfo(float).eps:
+        wanted = abs(hi) / n or 1.0
+    power = 10.0 ** math.floor(math.log10(wanted))
+    unit = power * next(m for m, above in PRETTY_UNITS if wanted / power > above)
+    first, last = math.floor(lo / unit + 1e-10), math.ceil(hi / unit - 1e-10)
+    return first * unit, max(last, first + 1) * unit, unit
 
 
 def pretty_bins(df: DataFrame, col: str, breaks: int = 100) -> DataFrame:
@@ -210,32 +183,83 @@ def kernel_density(long: DataFrame, lower: float = 0.0, upper: float = 5.0,
 # Rank correlation and error
 # ---------------------------------------------------------------------------
 
-def spearman_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Spearman correlation of every pair of columns, long form (a, b, rho).
+RANK_TABLE = 1_000_000   # ranks of values that every task may hold
+
 
-    Average ranks come from the counts of each column's distinct values, and
-    one aggregate takes the moments of all pairs. A column with one value, or
-    with a missing one, has no correlation.
+def spearman_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Spearman correlation of every pair of columns, long form (col_a, col_b, rho).
+
+    All (column, value) pairs are counted in one aggregate. Average ranks of columns
+    with few distinct values are looked up where the rows are; those of columns
+    with more come from one pass over their counted values and join the rows
+    once, in long form. Each task then adds up the products of centred ranks,
+    and a tree-shaped sum of columns x columns numbers reaches the driver. A column
+    with one value, or with a missing one (null, NaN), has no correlation.
     """
     cols = list(columns)
-    values = [F.col(c).cast("double") for c in cols]
-    ranked = reliable_checkpoint(df.select(*[
-        F.when(~F.isnan(v), v).alias(f"_v{i}") for i, v in enumerate(values)]))
-    for i in range(len(cols)):
-        ties = value_ranks(ranked, f"_v{i}").select(
-            F.col(f"_v{i}").alias("_of"), F.col("_rank").alias(f"_r{i}"))
-        ranked = ranked.join(ties, F.col(f"_v{i}") == F.col("_of"), "left").drop("_of")
-    pairs = []
+    values = [F.col(f"`{c}`").cast("double") for c in cols]
+    base = reliable_checkpoint(df.select(
+        F.array(*[F.when(~F.isnan(v), v) for v in values]).alias("_v"),
+        F.monotonically_increasing_id().alias("_row")))
+    long = base.select("_row", F.posexplode("_v").alias("_col", "_x")).where(F.col("_x").isNotNull())
+    counts = reliable_checkpoint(long.groupBy("_col", "_x").agg(F.count("*").alias("_n")))
+    n = base.count()
+    sizes = {r[0]: r[1] for r in counts.groupBy("_col").agg(
+        F.count("*").alias("values"), F.sum("_n").alias("rows")).where(
+        (F.col("rows") == n) & (F.col("values") > 1)).select("_col", "values").collect()}
+    limit = RANK_TABLE // max(1, len(cols))
+    few = sorted(c for c, size in sizes.items() if size <= limit)
+    many = sorted(c for c, size in sizes.items() if size > limit)
+    products = _rank_products(base, long, counts, few, many, n)
+    sound, at = {c: i for i, c in enumerate(few + many)}, np.sqrt(np.diag(products))
+    rows = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
-            x, y = F.col(f"_r{min(i, j)}"), F.col(f"_r{max(i, j)}")
-            sound = ((F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0)
-                     & (F.count(x) == F.count(F.lit(1))) & (F.count(y) == F.count(F.lit(1))))
-            rho = F.lit(1.0) if i == j else F.try_divide(
-                F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-            pairs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                                  F.when(sound, rho).alias("rho")))
-    return ranked.agg(F.array(*pairs).alias("_p")).select(F.inline("_p"))
+            rho = None
+            if i in sound and j in sound:
+                x, y = sound[i], sound[j]
+                rho = 1.0 if i == j else float(products[x, y] / (at[x] * at[y]))
+            rows.append((a, b, rho))
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, rho double")
+
+
+def _rank_products(base: DataFrame, long: DataFrame, counts: DataFrame, few: list[int], many: list[int],
+                   n: int) -> np.ndarray:
+    """Sums of products of the centred ranks of the columns ``few`` + ``many``."""
+    width, middle = len(few) + len(many), (n + 1) / 2.0
+    if not width:
+        return np.zeros((0, 0))
+    tables = {c: ([], []) for c in few}
+    if few:  # at most RANK_TABLE rows
+        for c, x, m in counts.where(F.col("_col").isin(few)).orderBy("_col", "_x").collect():
+            tables[c][0].append(x)
+            tables[c][1].append(m)
+    tables = [(c, np.array(x), np.cumsum(m) - np.array(m) / 2.0 + 0.5 - middle)
+              for c, (x, m) in tables.items()]
+    rows = base.withColumn("_ranks", F.array().cast("array<double>"))
+    if many:
+        ranks = count_positions(counts.where(F.col("_col").isin(many)), ["_col"], "_x").select(
+            "_col", "_x", (F.col("_before") + (F.col("_n") + 1) / 2.0 - middle).alias("_rank"))
+        found = (long.where(F.col("_col").isin(many)).join(ranks, ["_col", "_x"]).groupBy("_row")
+                 .agg(F.sort_array(F.collect_list(F.struct("_col", "_rank"))).alias("_found")))
+        rows = base.join(found, "_row").select("_v", F.col("_found._rank").alias("_ranks"))
+
+    def add_up(batches):
+        total = np.zeros((width, width))
+        for batch in batches:
+            m = batch.num_rows
+            if m:
+                v = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(m, -1)
+                r = np.empty((m, width))
+                for i, (c, x, rank) in enumerate(tables):
+                    r[:, i] = rank[np.searchsorted(x, v[:, c])]
+                if many:
+                    r[:, len(few):] = batch.column(1).flatten().to_numpy().reshape(m, -1)
+                total += r.T @ r
+        yield pa.RecordBatch.from_pydict({"total": [total.tobytes()]})
+
+    parts = rows.select("_v", "_ranks").mapInArrow(add_up, "total binary")
+    return parts.rdd.map(lambda r: np.frombuffer(r[0]).reshape(width, width)).treeReduce(np.add)
 
 
 def rmse(df: DataFrame, label: str, prediction: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -89,3 +90,40 @@ def test_spearman_counts_a_common_value_once(spark):
     want = df.toPandas()[["x", "y"]].corr(method="spearman").loc["x", "y"]
     assert got["x", "x"] == 1.0 and abs(got["x", "y"] - want) < 1e-9 and got["y", "x"] == got["x", "y"]
     assert got["x", "one"] is None and got["one", "one"] is None
+
+
+@pytest.mark.parametrize("table", [10**6, 8])
+def test_spearman_equals_pandas_by_both_routes(spark, monkeypatch, table):
+    """Ranks looked up, and (with room for hardly any) joined in long form."""
+    from cardgrain.operators import stats
+    monkeypatch.setattr(stats, "RANK_TABLE", table)
+    rows = [(float(i % 13), float((i * 37) % 101) / 7, float(i % 2), float("-inf") if i % 5 else 1.0,
+             None if i == 3 else 1.0 * i, float("nan") if i == 9 else 2.0 * i, 4.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "a double, `b.c` double, two double, inf double, gap double, nan double, one double")
+    names = df.columns
+    got = {(r[0], r[1]): r[2] for r in stats.spearman_long(df.repartition(5), names).collect()}
+    assert len(got) == 49
+    pdf = df.toPandas()
+    want = pdf[["a", "b.c", "two"]].assign(inf=(pdf["inf"] == 1.0) * 1.0).corr(method="spearman")
+    for x in want:
+        for y in want:
+            assert got[x, y] == pytest.approx(want.loc[x, y], abs=1e-9)
+    assert all(got[x, y] is None for x in names for y in ("gap", "nan", "one"))
+    assert stats.spearman_long(df.where("false"), names).where("rho is not null").count() == 0
+
+
+def test_spearman_of_many_columns_has_two_checkpoints(spark, monkeypatch):
+    from cardgrain.operators import stats
+    made = []
+    real = stats.reliable_checkpoint
+    monkeypatch.setattr(stats, "reliable_checkpoint", lambda df: made.append(1) or real(df))
+    wide = spark.range(40).select(*[((F.col("id") * (i + 3)) % 17).alias(f"c{i}") for i in range(200)])
+    out = stats.spearman_long(wide, wide.columns)
+    assert out.count() == 40_000 and len(made) == 2
+
+
+def test_quantiles_of_many_groups_without_a_broadcast(spark, monkeypatch):
+    df = spark.createDataFrame([(i % 5, float(i)) for i in range(50)], "g int, x double")
+    want = sorted(map(tuple, ranks.exact_quantiles(df, "x", [0.25, 0.5], ["g"]).collect()))
+    monkeypatch.setattr(ranks, "WANTED_ROWS", 1)
+    assert sorted(map(tuple, ranks.exact_quantiles(df, "x", [0.25, 0.5], ["g"]).collect())) == want

@@ -1,5 +1,7 @@
+import hashlib
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from cardgrain.operators import explore as X
@@ -97,3 +99,33 @@ def test_kernel_density_close_to_exact_kernel_sum(spark, sf_small):
 
 def test_pretty_breaks_unit_one():
     assert stats.pretty_breaks(1.3, 98.7, 100) == (1.0, 99.0, 1.0)
+
+
+def test_pretty_breaks_edges():
+    assert stats.pretty_breaks(0.0, 0.0) == (0.0, 1.0, 1.0)
+    lo, hi, unit = stats.pretty_breaks(-6.0, -6.0, 100)
+    assert lo <= -6.0 < hi and hi - lo == pytest.approx(unit) and unit == pytest.approx(0.05)
+    lo, hi, unit = stats.pretty_breaks(-9.2, -1.1, 10)
+    assert lo <= -9.2 and hi >= -1.1 and unit == 1.0
+    lo, hi, unit = stats.pretty_breaks(-1e300, 1e300, 100)
+    assert (lo, hi, unit) == pytest.approx((-1e300, 1e300, 2e298))
+    for wanted, unit in ((1.39, 1), (1.41, 2), (2.79, 2), (2.81, 5), (6.9, 5), (7.1, 10)):
+        assert stats.pretty_breaks(0.0, wanted * 10, 10)[2] == pytest.approx(unit)
+
+
+@pytest.mark.parametrize("few", [10_000, 3])
+def test_split_by_hash_cut_equals_positions(spark, monkeypatch, few):
+    """Same rows as by sorted positions, also where several passes narrow the cut."""
+    monkeypatch.setattr(split, "FEW_HASHES", few)
+    monkeypatch.setattr(split, "PREFIX", 1)
+    df = spark.createDataFrame([(str(i), float(i * 7919 % 1000)) for i in range(500)] + [("x", None)],
+                               "card_id string, target double")
+    for p in (0.8, 0.0, 1.0, 0.001):
+        out = split.stratified_split(df, "target", p)
+        assert "Exchange rangepartitioning" not in out._jdf.queryExecution().toString()
+        rows = [(r["grp"], hashlib.md5(f"1:1:{r['card_id']}".encode()).hexdigest(), r["part"]) for r in out.collect()]
+        assert len(rows) == 500
+        for g in range(1, 5):
+            parts = [x for _, _, x in sorted(r for r in rows if r[0] == g)]
+            assert parts == ["train"] * math.ceil(p * len(parts)) + ["holdout"] * (len(parts) - math.ceil(p * len(parts)))
+    assert split.stratified_split(df.where("false"), "target").count() == 0
