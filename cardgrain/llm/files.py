@@ -16,6 +16,11 @@ def _local(uri: str) -> str | None:
     return uri if "://" not in uri else None
 
 
+def _remote(uri: str):
+    """(file system, path); Hadoop's name for S3 paths is not pyarrow's."""
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+
+
 def write_file(uri: str, data: bytes) -> None:
     """Write one file. Names carry the task attempt, so a repeated task never
     touches a file that another attempt has announced."""
@@ -25,7 +30,7 @@ def write_file(uri: str, data: bytes) -> None:
         with open(path, "wb") as f:
             f.write(data)
         return
-    system, path = fs.FileSystem.from_uri(uri)
+    system, path = _remote(uri)
     system.create_dir(os.path.dirname(path), recursive=True)
     with system.open_output_stream(path) as f:
         f.write(data)
@@ -51,7 +56,7 @@ def read_file(uri: str) -> memoryview:
             if os.fstat(f.fileno()).st_size == 0:
                 return memoryview(b"")
             return memoryview(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
-    system, path = fs.FileSystem.from_uri(uri)
+    system, path = _remote(uri)
     with system.open_input_file(path) as f:
         return memoryview(pa.py_buffer(f.read()))
 
@@ -61,6 +66,6 @@ def read_spans(uri: str, spans: list[tuple[int, int]]) -> list[memoryview]:
     if _local(uri) is not None:
         whole = read_file(uri)
         return [whole[at:at + n] for at, n in spans]
-    system, path = fs.FileSystem.from_uri(uri)
+    system, path = _remote(uri)
     with system.open_input_file(path) as f:
         return [memoryview(f.read_at(n, at)) for at, n in spans]

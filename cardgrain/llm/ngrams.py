@@ -1,12 +1,15 @@
 """Language-model scoring with an n-gram trie in Elias-Fano levels.
 
-Level 1 holds every training word (its 63-bit hash) and its count. Level n
-holds, for every context of n-1 words, the words that followed it: contexts as an Elias-Fano sequence, monotone pointers to
-each context's children, and the children as 32-bit word hashes relative to
-their context (context rank, then hash: one ascending sequence), beside a
-quantised discounted probability for each child and a quantised rest for each
-context. Levels are cut into files by ranges of (context, child), written by
-tasks into the shared folder and memory-mapped where they are queried.
+Level 1 holds every training word (its 63-bit hash) and its count; a word's rank is
+its place there. Level n holds, for every context of n-1 words, the words that
+followed it. A context is named by the place of its entry in level n-1 and not
+stored: monotone pointers, one per place, lead to its children. Children are
+word ranks relative to their context (place of the context in the file, then rank: one
+ascending sequence), beside a quantised discounted probability for each child, a
+quantised rest for each context and, in levels below the last, short counts.
+Levels are cut into files by ranges of (context, child) of about equal
+training tokens, written by tasks into the shared folder and memory-mapped where they
+are queried.
 
 p(w | context) = discounted(context, w) + rest(context) * p(w | shorter context),
 down to p(w) = (c + 0.1) / (N + 0.1 (V + 1)); the rest of a context is what its
@@ -15,8 +18,10 @@ stored children leave, so probabilities sum to one up to quantisation.
 
 from __future__ import annotations
 
+import mmap
 import struct
 import uuid
+from collections import OrderedDict
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,7 +44,7 @@ SHARD_TOKENS = 2_000_000  # training tokens for each file of a level
 FLUSH = 6_000_000  # bytes of text counted or scored at once in a task
 SCALE, ZERO = 6500.0, 65535  # quantised -log10
 MASK63 = np.uint64((1 << 63) - 1)
-MASK32 = np.uint64(0xFFFFFFFF)
+HELD = 1 << 28  # bytes of files not mapped that a worker keeps
 SPACE63 = 1 << 63
 END = np.uint64(xxhash.xxh64_intdigest(b" ")) & MASK63  # no word has a space
 
@@ -84,12 +89,6 @@ def tokens(texts: pa.Array) -> Tokens:
     return Tokens(distinct, code, np.concatenate([[0], stop[:-1] + np.arange(1, len(stop))]))
 
 
-def deeper(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Context key one word longer, from the word's low 32 bits."""
-    x = (context ^ ((word & MASK32) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return (x ^ (x >> np.uint64(31))) & MASK63
-
-
 def quantise(p: np.ndarray) -> np.ndarray:
     q = np.full(len(p), ZERO, np.uint16)
     some = p > 0
@@ -120,114 +119,138 @@ class WordFile:
 
     @staticmethod
     def build(h: np.ndarray, count: np.ndarray) -> bytes:
-        return eliasfano.build(h, SPACE63) + _section(count.astype("<u4")) + _section(
-            np.flatnonzero(count >> 32).astype("<u8")) + _section(
-            (count[count >> 32 > 0] >> 32).astype("<u8"))
+        return eliasfano.build(h, SPACE63) + _counts(count)
 
     def __init__(self, data):
         self.words = EliasFano(data)
-        self.low, at = _read(data, self.words.stop, "<u4")
-        self.large, at = _read(data, at, "<u8")
-        self.high, _ = _read(data, at, "<u8")
+        self.counts = Counts(data, self.words.stop)
 
-    def count(self, h: np.ndarray) -> np.ndarray:
+    def look(self, h: np.ndarray):
+        """(count, place) of each hash; place -1 and count 0 where it is not there."""
         at = self.words.find(h)
-        out = np.where(at >= 0, self.low[at].astype(np.int64) if len(self.low) else 0, 0)
-        if len(self.large):
-            k = np.minimum(np.searchsorted(self.large, np.maximum(at, 0)), len(self.large) - 1)
-            out += np.where((at >= 0) & (self.large[k] == at), self.high[k].astype(np.int64) << 32, 0)
+        return self.counts.of(at), at
+
+
+def _counts(count: np.ndarray) -> bytes:
+    """Counts in a byte each; those of 255 or more in a list of their own."""
+    large = np.flatnonzero(count >= 255)
+    return (_section(np.minimum(count, 255).astype("<u1")) + _section(large.astype("<u8"))
+            + _section(count[large].astype("<u8")))
+
+
+class Counts:
+    def __init__(self, data, at: int):
+        self.small, at = _read(data, at, "<u1")
+        self.places, at = _read(data, at, "<u8")
+        self.large, self.stop = _read(data, at, "<u8")
+
+    def of(self, at: np.ndarray) -> np.ndarray:
+        """Count at each place; 0 at place -1."""
+        if not len(self.small):
+            return np.zeros(len(at), np.int64)
+        out = np.where(at >= 0, self.small[at].astype(np.int64), 0)
+        big = np.flatnonzero(out == 255)
+        out[big] = self.large[np.searchsorted(self.places, at[big])]
         return out
 
 
 class GramFile:
-    """A file of level n: contexts, pointers, children, probabilities, rests, counts."""
+    """A file of level n: pointers, children, probabilities, rests, counts."""
 
     @staticmethod
-    def build(context: np.ndarray, child: np.ndarray, count: np.ndarray, p: np.ndarray,
-              rest: np.ndarray) -> bytes:
-        """Entries ascending by (context, child); ``rest`` by distinct context."""
-        distinct, first, rank = np.unique(context, return_index=True, return_inverse=True)
-        pointers = np.concatenate([first, [len(context)]]).astype(np.uint64)
-        relative = (rank.astype(np.uint64) << np.uint64(32)) | child
-        return b"".join([eliasfano.build(distinct, SPACE63),
-                         eliasfano.build(pointers, len(context) + 1),
-                         eliasfano.build(relative, max(1, len(distinct)) << 32),
+    def build(first: int, stop: int, shift: int, parent: np.ndarray, child: np.ndarray, p: np.ndarray,
+              rest: np.ndarray, count: np.ndarray | None) -> bytes:
+        """Entries ascending by (parent, child), of the parents from ``first`` up to ``stop``;
+        ``rest`` for each of these; ``count`` if a next level needs it."""
+        pointers = np.searchsorted(parent, np.arange(first, stop + 1, dtype=np.uint64))
+        relative = ((parent - np.uint64(first)) << np.uint64(shift)) | child
+        return b"".join([struct.pack("<QQ", first, shift),
+                         eliasfano.build(pointers.astype(np.uint64), len(parent) + 1),
+                         eliasfano.build(relative, max(1, stop - first) << shift),
                          _section(quantise(p)), _section(quantise(rest)),
-                         _section(np.minimum(count, 0xFFFFFFFF).astype("<u4"))])
+                         _counts(count if count is not None else np.zeros(0, np.int64))])
 
     def __init__(self, data):
-        self.contexts = EliasFano(data)
-        self.pointers = EliasFano(data, self.contexts.stop)
+        first, shift = struct.unpack_from("<QQ", data)
+        self.first, self.shift = np.uint64(first), np.uint64(shift)
+        self.pointers = EliasFano(data, 16)
         self.children = EliasFano(data, self.pointers.stop)
         self.p, at = _read(data, self.children.stop, "<u2")
         self.rest, at = _read(data, at, "<u2")
-        self.counts, _ = _read(data, at, "<u4")
+        self.counts = Counts(data, at)
 
     def look(self, distinct: np.ndarray, sizes: np.ndarray, child: np.ndarray):
-        """(rest, p, count) of entries given as runs: ``sizes`` children of each of
-        the ascending ``distinct`` contexts; rest 1 for an unknown context."""
-        rank = self.contexts.find(distinct)
-        known = rank >= 0
-        rests = np.ones(len(rank))
-        rests[known] = restore(self.rest[rank[known]])
-        rank, rest = np.repeat(rank, sizes), np.repeat(rests, sizes)
-        p, count = np.zeros(len(child)), np.zeros(len(child), np.int64)
-        use = np.flatnonzero(rank >= 0)
-        at = self.children.find((rank[use].astype(np.uint64) << np.uint64(32)) | child[use])
+        """(rest, p, count, place) of entries given as runs: ``sizes`` children of each of the
+        ascending ``distinct`` parents. A last level has no counts: 1 for each entry."""
+        local = distinct - self.first
+        rest = np.repeat(restore(self.rest[local.astype(np.int64)]), sizes)
+        at = self.children.find((np.repeat(local, sizes) << self.shift) | child)
         hit = at >= 0
-        use, at = use[hit], at[hit]
-        p[use], count[use] = restore(self.p[at]), self.counts[at]
-        return rest, p, count
+        p = np.where(hit, restore(self.p[at]), 0.0) if len(self.p) else np.zeros(len(at))
+        count = self.counts.of(at) if len(self.counts.small) else hit.astype(np.int64)
+        return rest, p, count, at
 
-    def followers(self, context: int) -> np.ndarray:
-        """32-bit hashes of a context's stored children."""
-        r = self.contexts.find(np.array([context], np.uint64))
-        if r[0] < 0:
-            return np.zeros(0, np.uint64)
-        a, b = self.pointers.access(np.array([r[0], r[0] + 1])).astype(np.int64)
-        return self.children.access(np.arange(a, b)) & MASK32
+    def followers(self, parent: int) -> np.ndarray:
+        """Word ranks of a context's stored children."""
+        at = np.array([parent - int(self.first)])
+        a, b = (int(self.pointers.access(at + i)[0]) for i in (0, 1))
+        return self.children.access(np.arange(a, b)) & ((np.uint64(1) << self.shift) - np.uint64(1))
 
 
 @dataclass
 class Level:
-    """Files of one level and the (context, child) that each starts at."""
+    """Files of one level: the (parent, child) that each starts at and the entries before it."""
 
-    contexts: np.ndarray
+    parents: np.ndarray
     children: np.ndarray
     paths: list
-    whole_rest: dict = field(default_factory=dict)  # contexts cut over several files
+    before: np.ndarray | None = None
+    size: int = 0
+    whole_rest: dict = field(default_factory=dict)   # of contexts cut over several files
+    whole_count: dict = field(default_factory=dict)
 
     def of(self, distinct: np.ndarray) -> np.ndarray:
         """File number of each ascending context; -1 for one cut over several files."""
-        at = np.searchsorted(self.contexts, distinct, "right") - 1
-        cut = np.unique(self.contexts[self.children > 0])
+        at = np.searchsorted(self.parents, distinct, "right") - 1
+        cut = np.unique(self.parents[self.children > 0])
         if len(cut):
             k = np.minimum(np.searchsorted(cut, distinct), len(cut) - 1)
             at[cut[k] == distinct] = -1
         return at
 
-    def shard(self, context: np.ndarray, child: np.ndarray) -> np.ndarray:
+    def shard(self, parent: np.ndarray, child: np.ndarray) -> np.ndarray:
         """File number of each entry: the last start at or below it."""
-        at = np.searchsorted(self.contexts, context, "right") - 1
-        first = np.searchsorted(self.contexts, context, "left")
+        at = np.searchsorted(self.parents, parent, "right") - 1
+        first = np.searchsorted(self.parents, parent, "left")
         cut = np.flatnonzero(at > first)  # several files start in this context
-        for c in np.unique(context[cut]).tolist():
-            mine = cut[context[cut] == c]
-            a, b = np.searchsorted(self.contexts, [c, c + 1])
+        for c in np.unique(parent[cut]).tolist():
+            mine = cut[parent[cut] == c]
+            a, b = np.searchsorted(self.parents, [c, c + 1])
             at[mine] = a + np.searchsorted(self.children[a:b], child[mine], "right") - 1
         return at
 
+    def parents_of(self, shard: int, all_parents: int) -> tuple[int, int]:
+        """The parents (from, up to) that a file has entries of."""
+        first = int(self.parents[shard])
+        if shard + 1 == len(self.parents):
+            return first, max(all_parents, first + 1)
+        return first, int(self.parents[shard + 1]) + int(self.children[shard + 1] > 0)
+
+    def sized(self, sizes: list[int]) -> None:
+        self.before = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))])
+        self.size = int(self.before[-1])
 
-def starts(shards: int, hot: list[tuple[int, int]], per_shard: int) -> Level:
-    """Even ranges of contexts; a context with over ``per_shard`` tokens (hot:
-    (context, tokens)) is cut into even ranges of its children."""
-    edge = {(i * SPACE63 // shards, 0) for i in range(shards)}
-    for context, n in hot:
-        parts = -(-n // per_shard)
-        edge |= {(context, (i << 32) // parts) for i in range(parts)}
-    edges = sorted(edge)
-    return Level(np.array([e[0] for e in edges], np.uint64),
-                 np.array([e[1] for e in edges], np.uint64), [None] * len(edges))
+
+def starts(edges: set[int], hot: list[tuple[int, int]], per_shard: int, words: int) -> Level:
+    """Files from each parent of ``edges`` on; a context with over ``per_shard`` tokens (hot:
+    (parent, tokens)) is cut into even ranges of its children."""
+    at = {(e, 0) for e in edges | {0}}
+    for parent, n in hot:
+        parts = min(-(-n // per_shard), max(1, words))
+        at |= {(parent, i * words // parts) for i in range(parts)}
+    at = sorted(at)
+    return Level(np.array([e[0] for e in at], np.uint64), np.array([e[1] for e in at], np.uint64),
+                 [None] * len(at), whole_count=dict(hot))
 
 
 @dataclass
@@ -241,49 +264,65 @@ class Model:
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "_open"}
 
+    @property
+    def shift(self) -> int:
+        """Bits of a word rank; the rank ``distinct`` stands for an unknown word."""
+        return max(1, int(self.distinct).bit_length())
+
     def _file(self, level: int, shard: int):
-        cache = self.__dict__.setdefault("_open", {})
+        """An opened file. Mapped files stay open; of others the last used, up to ``HELD`` bytes."""
+        cache = self.__dict__.setdefault("_open", OrderedDict())
         key = level, int(shard)
         if key not in cache:
             path = self.levels[level].paths[key[1]]
-            cache[key] = None if path is None else (GramFile if level else WordFile)(read_file(path))
-        return cache[key]
-
-    def count(self, h: np.ndarray) -> np.ndarray:
-        """Training count of each word hash (ascending)."""
-        out = np.zeros(len(h), np.int64)
-        where = self.levels[0].shard(h, np.zeros(len(h), np.uint64))
+            if path is None:
+                return None
+            data = read_file(path)
+            size = 0 if isinstance(data.obj, mmap.mmap) else data.nbytes
+            cache[key] = (GramFile if level else WordFile)(data), size
+            while len(cache) > 1 and sum(n for _, n in cache.values()) > HELD:
+                cache.popitem(last=False)
+        cache.move_to_end(key)
+        return cache[key][0]
+
+    def words(self, h: np.ndarray):
+        """(count, rank) of each word hash (ascending); rank ``distinct`` if unknown."""
+        count, rank = np.zeros(len(h), np.int64), np.full(len(h), self.distinct, np.int64)
+        level = self.levels[0]
+        where = level.shard(h, np.zeros(len(h), np.uint64))
         for s in np.unique(where).tolist():
-            mine = np.flatnonzero(where == s)
             f = self._file(0, s)
             if f is not None:
-                out[mine] = f.count(h[mine])
-        return out
+                mine = np.flatnonzero(where == s)
+                count[mine], at = f.look(h[mine])
+                rank[mine] = np.where(at >= 0, at + level.before[s], self.distinct)
+        return count, rank
 
-    def look(self, n: int, context: np.ndarray, child: np.ndarray):
-        """(rest, p, count) of entries of level n, in any order."""
+    def look(self, n: int, parent: np.ndarray, child: np.ndarray):
+        """(rest, p, count, place) of entries of level n, in any order; place -1: not there."""
         level = self.levels[n - 1]
-        order = _order(context, child)
-        context, child = context[order], child[order]
-        once = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) |
+        order = _order(parent, child, self.shift)
+        parent, child = parent[order], child[order]
+        once = np.flatnonzero(np.concatenate([[True], (parent[1:] != parent[:-1]) |
                                               (child[1:] != child[:-1])]))
         times = np.diff(np.concatenate([once, [len(order)]]))
-        context, child = context[once], child[once]
+        parent, child = parent[once], child[once]
         rest, p = np.ones(len(once)), np.zeros(len(once))
-        count = np.zeros(len(once), np.int64)
+        count, place = np.zeros(len(once), np.int64), np.full(len(once), -1, np.int64)
 
         def ask(shard: int, distinct, sizes, at):
             f = self._file(n - 1, shard)
             if f is not None:
-                rest[at], p[at], count[at] = f.look(distinct, sizes, child[at])
+                rest[at], p[at], count[at], found = f.look(distinct, sizes, child[at])
+                place[at] = np.where(found >= 0, found + level.before[shard], -1)
 
-        first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-        distinct, stop = context[first], np.concatenate([first[1:], [len(once)]])
+        first = np.flatnonzero(np.concatenate([[True], parent[1:] != parent[:-1]]))
+        distinct, stop = parent[first], np.concatenate([first[1:], [len(once)]])
         where = level.of(distinct)
         alone = where >= 0
         for k in np.flatnonzero(~alone).tolist():  # contexts cut over several files
             at = np.arange(first[k], stop[k])
-            shard = level.shard(context[at], child[at])
+            shard = level.shard(parent[at], child[at])
             for s in np.unique(shard).tolist():
                 mine = at[shard == s]
                 ask(s, distinct[k:k + 1], np.array([len(mine)]), mine)
@@ -299,8 +338,8 @@ class Model:
                 at = np.repeat(first[part], sizes) + np.arange(sizes.sum()) - np.repeat(
                     np.cumsum(sizes) - sizes, sizes)
                 ask(where[a], distinct[part], sizes, at)
-        out = tuple(np.empty(len(order), x.dtype) for x in (rest, p, count))
-        for to, x in zip(out, (rest, p, count)):
+        out = tuple(np.empty(len(order), x.dtype) for x in (rest, p, count, place))
+        for to, x in zip(out, (rest, p, count, place)):
             to[order] = np.repeat(x, times)
         return out
 
@@ -310,36 +349,32 @@ class Model:
     def grams(self, t: Tokens, upto: int):
         """Per token: probability after each order, and the stored contexts.
 
-        Yields (n, context keys, whether each token's n-1 words of context are
-        one in the trie so far, counts) level by level, with the probability.
+        Yields (n, place of each token's context of n-1 words, whether it is in
+        the trie, counts, probability) level by level; counts of the last
+        level tell only whether the n-gram is there.
         """
-        h, is_end = t.hashes, t.is_end
-        count = self.count(t.distinct)
+        for n, parent, live, count, p, _ in self._levels(t, upto, *self.words(t.distinct)):
+            yield n, parent, live, count, p
+
+    def _levels(self, t: Tokens, upto: int, count: np.ndarray, rank: np.ndarray):
+        """:meth:`grams` with the place of the n words up to each token, -1 where there is none."""
+        is_end = t.is_end
+        word = rank[t.code]
         p = self.base(count)[t.code]
-        yield 1, None, None, count[t.code], p
-        context = np.zeros(len(h), np.uint64)
-        context[1:] = h[:-1]
-        live = np.ones(len(h), bool)
-        live[0] = False
-        live[1:] &= ~is_end[:-1]
+        place = np.where(word < self.distinct, word, -1)
+        yield 1, None, None, count[t.code], p, place
         for n in range(2, upto + 1):
+            parent, live = np.zeros(len(word), np.int64), np.zeros(len(word), bool)
+            parent[1:], live[1:] = place[:-1], (place[:-1] >= 0) & ~is_end[:-1]
             at = np.flatnonzero(live)
             if not len(at):
                 return
-            rest, q, c = self.look(n, context[at], h[at] & MASK32)
+            rest, q, c, found = self.look(n, parent[at].astype(np.uint64), word[at].astype(np.uint64))
             p = p.copy()
             p[at] = q + rest * p[at]
-            full = np.zeros(len(h), np.int64)
-            full[at] = c
-            yield n, context, live, full, p
-            if n == upto:
-                return
-            # next: the context of token i is (context of token i-1, token i-1), if stored
-            grown = np.zeros(len(h), np.uint64)
-            grown[1:] = deeper(context[:-1], h[:-1])
-            stored = np.zeros(len(h), bool)
-            stored[1:] = live[:-1] & (full[:-1] > 0) & ~is_end[:-1]
-            context, live = grown, stored
+            full, place = np.zeros(len(word), np.int64), np.full(len(word), -1, np.int64)
+            full[at], place[at] = c, found
+            yield n, parent, live, full, p, place
 
 
 def _flushes(batches):
@@ -392,7 +427,9 @@ def _by_shard(batches, *columns: str):
 
 def _word_level(counts: DataFrame, shards: int) -> Level:
     bits = (shards - 1).bit_length()  # files by the first bits of the hash
-    level = starts(1 << bits, [], 1)
+    n = 1 << bits
+    level = Level(np.array([i * SPACE63 // n for i in range(n)], np.uint64), np.zeros(n, np.uint64),
+                  [None] * n)
     folder = shared_path(counts.sparkSession, "level1")
 
     def write(batches):
@@ -401,139 +438,145 @@ def _word_level(counts: DataFrame, shards: int) -> Level:
             h = np.array(rows["h"], np.int64).view(np.uint64)
             order = np.argsort(h)
             write_file(path, WordFile.build(h[order], np.array(rows["n"], np.int64)[order]))
-            yield {"shard": [s], "path": [path]}
+            yield {"shard": [s], "path": [path], "size": [len(h)]}
 
     rows = counts.withColumn("shard", F.shiftright("h", 63 - bits).cast("int") if bits
                              else F.lit(0))
     made = arrow_map(rows.repartition("shard").sortWithinPartitions("shard"), write,
-                     "shard int, path string").collect()  # a row for each file
+                     "shard int, path string, size long").collect()  # a row for each file
+    sizes = [0] * n
     for r in made:
-        level.paths[r["shard"]] = r["path"]
+        level.paths[r["shard"]], sizes[r["shard"]] = r["path"], r["size"]
+    level.sized(sizes)
     return level
 
 
-def _blob(context, child, count, ctx_count) -> bytes:
-    distinct, first = np.unique(context, return_index=True)
-    sizes = np.diff(np.concatenate([first, [len(context)]]))
-    parts = [distinct.astype("<u8"), sizes.astype("<u4"), ctx_count[first].astype("<u8"),
-             child.astype("<u4"), np.minimum(count, 0xFFFFFFFF).astype("<u4")]
-    raw = struct.pack("<QQ", len(distinct), len(child)) + b"".join(x.tobytes() for x in parts)
+def _planes(a: np.ndarray) -> bytes:
+    """Bytes by significance: those that are zero throughout compress to nothing."""
+    return a.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unplanes(raw: bytes, n: int, at: int) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8, 8 * n, at).reshape(8, n).T.copy().view("<u8").ravel()
+
+
+def _blob(parent: np.ndarray, child: np.ndarray, count: np.ndarray) -> bytes:
+    """Entries ascending by (parent, child): steps between parents, their numbers of children, children, counts."""
+    distinct, first = np.unique(parent, return_index=True)
+    sizes = np.diff(np.concatenate([first, [len(parent)]]))
+    raw = struct.pack("<QQ", len(distinct), len(child)) + b"".join(map(_planes, (
+        np.diff(distinct, prepend=np.uint64(0)), sizes, child, count)))
     return zstandard.compress(raw, 1)
 
 
 def _unblob(blob: bytes):
     raw = zstandard.decompress(blob)
     m, n = struct.unpack_from("<QQ", raw)
-    at, out = 16, []
-    for dtype, size in (("<u8", m), ("<u4", m), ("<u8", m), ("<u4", n), ("<u4", n)):
-        out.append(np.frombuffer(raw, dtype, size, at))
-        at += out[-1].nbytes
-    distinct, sizes, ctx_count, child, count = out
-    return (np.repeat(distinct, sizes), child.astype(np.uint64), count.astype(np.int64),
-            np.repeat(ctx_count, sizes).astype(np.int64))
-
-
-def _order(context: np.ndarray, child: np.ndarray) -> np.ndarray:
-    """Sorts by (context, child): by the first 32 bits of the context and the
-    child in one key, then the few contexts that share those bits by both."""
-    order = np.argsort(((context >> np.uint64(31)) << np.uint64(32)) | child)
-    c = context[order]
-    top = c >> np.uint64(31)
-    mixed = np.unique(top[1:][(top[1:] == top[:-1]) & (c[1:] != c[:-1])])
-    if len(mixed):
-        k = np.minimum(np.searchsorted(mixed, top), len(mixed) - 1)
-        at = np.flatnonzero(mixed[k] == top)
-        sub = order[at]
-        order[at] = sub[np.lexsort((child[sub], context[sub]))]
-    return order
-
-
-def _sum_entries(parts):
-    context, child, count, ctx_count = map(np.concatenate, zip(*parts))
-    order = _order(context, child)
-    context, child, count, ctx_count = (x[order] for x in (context, child, count, ctx_count))
-    new = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) |
-                                         (child[1:] != child[:-1])]))
-    return context[new], child[new], np.add.reduceat(count, new), ctx_count[new]
-
-
-def _count_pairs(t: Tokens, at: np.ndarray):
-    """Entries of level 2 (context, child, count, 0) for the tokens ``at``: the
-    place of a context among the distinct words stands for its hash in the key."""
-    low = t.distinct & MASK32
-    key, total = np.unique((t.code[at - 1].astype(np.uint64) << np.uint64(32)) | low[t.code[at]],
+    steps, sizes = _unplanes(raw, m, 16), _unplanes(raw, m, 16 + 8 * m)
+    child, count = (_unplanes(raw, n, 16 + 16 * m + 8 * i * n) for i in range(2))
+    return np.repeat(np.cumsum(steps, dtype=np.uint64), sizes.astype(np.int64)), child, count.astype(np.int64)
+
+
+def _order(parent: np.ndarray, child: np.ndarray, shift: int) -> np.ndarray:
+    """Sorts by (parent, child), in one key where both fit into it."""
+    if not len(parent) or int(parent.max()).bit_length() + shift <= 64:
+        return np.argsort((parent << np.uint64(shift)) | child)
+    return np.lexsort((child, parent))
+
+
+def _summed(parent: np.ndarray, child: np.ndarray, count: np.ndarray, shift: int):
+    order = _order(parent, child, shift)
+    parent, child, count = parent[order], child[order], count[order]
+    new = np.flatnonzero(np.concatenate([[True], (parent[1:] != parent[:-1]) | (child[1:] != child[:-1])]))
+    return parent[new], child[new], np.add.reduceat(count, new)
+
+
+def _count_pairs(t: Tokens, rank: np.ndarray, at: np.ndarray):
+    """Entries of level 2 (parent, child, count) for the tokens ``at``, by places among the
+    distinct words, whose order is that of their ranks."""
+    key, total = np.unique((t.code[at - 1].astype(np.uint64) << np.uint64(32)) | t.code[at].astype(np.uint64),
                            return_counts=True)
-    context = t.distinct[(key >> np.uint64(32)).astype(np.int64)]
-    return context, key & MASK32, total, np.zeros(len(key), np.int64)
+    rank = rank.astype(np.uint64)
+    return rank[(key >> np.uint64(32)).astype(np.int64)], rank[(key & np.uint64(0xFFFFFFFF)).astype(np.int64)], total
+
 
+def _discounted(parent: np.ndarray, total: np.ndarray, whole_count: dict):
+    """Of entries of a file by parent: (probability of each entry; the distinct parents,
+    what their entries use of their counts, and these counts)."""
+    distinct, first = np.unique(parent, return_index=True)
+    sizes = np.diff(np.concatenate([first, [len(parent)]]))
+    of = np.add.reduceat(total, first)  # every occurrence of a context is followed by a word or an end
+    for i in np.flatnonzero(np.isin(distinct, np.array(sorted(whole_count), np.uint64))).tolist():
+        of[i] = whole_count[int(distinct[i])]
+    return (total - DISCOUNT) / np.repeat(of, sizes), distinct, np.add.reduceat(total - DISCOUNT, first), of
 
-def _gram_level(docs: DataFrame, model: Model, n: int, level: Level):
-    """Level n from whole texts: tasks count n-grams whose parts are stored, one
-    blob for each file they touch; a task for each file adds them up."""
-    folder = shared_path(docs.sparkSession, f"level{n}")
+
+def _gram_level(docs: DataFrame, model: Model, n: int, level: Level, shard_tokens: int, last: bool):
+    """Level n from whole texts: tasks count n-grams, one blob for each file they
+    touch; a task for each file adds them up. Returns the next level's starts."""
+    folder, shift = shared_path(docs.sparkSession, f"level{n}"), model.shift
+    all_parents = model.levels[-1].size
 
     def count(batches):
         for texts in _flushes(batches):
             t = tokens(_texts(texts))
-            h, inner = t.hashes, ~t.is_end[:-1]
+            inner = ~t.is_end[:-1]
+            words, rank = model.words(t.distinct)
             if n == 2:
                 at = np.flatnonzero(inner) + 1
-                entries = _count_pairs(t, at)
+                entries = len(at) and _count_pairs(t, rank, at)
             else:
-                for m, keys, live, counts, _ in model.grams(t, n - 1):
+                for m, *_, place in model._levels(t, n - 1, words, rank):
                     pass
-                if m < n - 1:
-                    continue
-                # stored (context, word) pairs become contexts of the next word;
-                # the shorter n-gram that ends in the next word must be stored too
-                at = np.flatnonzero(live[:-1] & (counts[:-1] > 0) & inner & (counts[1:] > 0)) + 1
-                entries = len(at) and _sum_entries([(
-                    deeper(keys[at - 1], h[at - 1]), h[at] & MASK32,
-                    np.ones(len(at), np.int64), counts[at - 1])])
+                # A word after a place of n-1 words is its child.
+                at = np.flatnonzero((place[:-1] >= 0) & inner) + 1 if m == n - 1 else []
+                entries = len(at) and _summed(
+                    place[at - 1].astype(np.uint64), rank[t.code[at]].astype(np.uint64),
+                    np.ones(len(at), np.int64), shift)
             if not len(at):
                 continue
-            context, child, total, ctx_count = entries
-            where = level.shard(context, child)
+            parent, child, total = entries
+            where = level.shard(parent, child)
             cuts = np.flatnonzero(np.diff(where)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(where)]):
-                yield {"shard": [int(where[a])], "blob": [_blob(
-                    context[a:b], child[a:b], total[a:b], ctx_count[a:b])]}
+                yield {"shard": [int(where[a])], "blob": [_blob(parent[a:b], child[a:b], total[a:b])]}
 
     def write(batches):
+        cut = np.unique(level.parents[level.children > 0])
+        end = int(model.words(np.array([END]))[1][0])
         for s, rows in _by_shard(batches, "blob"):
-            context, child, total, ctx_count = _sum_entries([_unblob(x) for x in rows["blob"]])
-            distinct, first = np.unique(context, return_index=True)
-            if n == 2:
-                of = model.count(distinct)
-            else:
-                of = ctx_count[first]
-            sizes = np.diff(np.concatenate([first, [len(context)]]))
-            used = np.add.reduceat(total - DISCOUNT, first)
+            parent, child, total = _summed(*map(np.concatenate, zip(*map(_unblob, rows["blob"]))), shift)
+            p, distinct, used, of = _discounted(parent, total, level.whole_count)
+            first, stop = level.parents_of(s, all_parents)
+            rest = np.ones(stop - first)
+            rest[(distinct - np.uint64(first)).astype(np.int64)] = 1 - used / of
             path = f"{folder}/{s:07d}-{uuid.uuid4().hex}.grams"
-            write_file(path, GramFile.build(
-                context, child, total, (total - DISCOUNT) / np.repeat(of, sizes), 1 - used / of))
-            edge = np.isin(distinct, level.contexts[level.children > 0])
-            large = total > SHARD_TOKENS
-            yield {"shard": [s], "path": [path],
-                   "cut": [[(int(c), float(u), int(k)) for c, u, k in zip(
-                       distinct[edge], used[edge], of[edge])]],
-                   "hot": [[(int(c), int(k)) for c, k in zip(
-                       deeper(context[large], child[large]), total[large])]]}
+            write_file(path, GramFile.build(first, stop, shift, parent, child, p, rest, None if last else total))
+            edge = np.isin(distinct, cut)
+            followed = np.where(child == end, 0, total)
+            steps, large = np.cumsum(followed) // shard_tokens, np.flatnonzero(followed > shard_tokens)
+            turns = np.flatnonzero(np.diff(steps, prepend=0)) if not last else []
+            yield {"shard": [s], "path": [path], "size": [len(parent)],
+                   "cut": [[(int(c), float(u), int(k)) for c, u, k in zip(distinct[edge], used[edge], of[edge])]],
+                   "turns": [[int(x) for x in turns]],
+                   "hot": [[(int(i), int(total[i])) for i in large] if not last else []]}
 
     blobs = arrow_map(docs.select("text"), count, "shard int, blob binary", plain=False)
     made = arrow_map(
         blobs.repartition("shard").sortWithinPartitions("shard"), write,
-        "shard int, path string, cut array<struct<c:long,u:double,k:long>>, "
-        "hot array<struct<c:long,k:long>>").collect()  # a row for each file
-    used: dict[int, list] = {}
-    hot = []
+        "shard int, path string, size long, cut array<struct<c:long,u:double,k:long>>, turns array<long>, "
+        "hot array<struct<i:long,k:long>>").collect()  # a row for each file
+    sizes, used = [0] * len(level.paths), {}
     for r in made:
-        level.paths[r["shard"]] = r["path"]
+        level.paths[r["shard"]], sizes[r["shard"]] = r["path"], r["size"]
         for c, u, k in r["cut"]:
             used.setdefault(c, [0.0, k])[0] += u
-        hot += [(c, k) for c, k in r["hot"]]
+    level.sized(sizes)
     level.whole_rest = {c: 1 - u / k for c, (u, k) in used.items()}
-    return level, hot
+    before = {r["shard"]: int(level.before[r["shard"]]) for r in made}
+    edges = {before[r["shard"]] + i for r in made for i in [0, *r["turns"]]}
+    hot = [(before[r["shard"]] + i, k) for r in made for i, k in r["hot"]]
+    return starts(edges, hot, shard_tokens, model.distinct)
 
 
 def learn(docs: DataFrame, order: int = ORDER, shard_tokens: int = SHARD_TOKENS) -> Model:
@@ -544,11 +587,15 @@ def learn(docs: DataFrame, order: int = ORDER, shard_tokens: int = SHARD_TOKENS)
     shards = max(1, -(-total // shard_tokens))
     model = Model(total, distinct, [_word_level(counts, max(1, -(-distinct // shard_tokens)))])
     # words seen over shard_tokens times: at most total / shard_tokens rows
-    hot = [(r["h"], r["n"]) for r in counts.where(
-        (F.col("n") > shard_tokens) & (F.col("h") != int(END))).collect()]
+    hot = {r["h"]: r["n"] for r in counts.where(
+        (F.col("n") > shard_tokens) & (F.col("h") != int(END))).collect()}
+    _, ranks = model.words(np.array(sorted(hot), np.uint64))
+    level = starts({i * distinct // shards for i in range(shards)},
+                   [(int(r), hot[h]) for h, r in zip(sorted(hot), ranks)], shard_tokens, distinct)
     for n in range(2, order + 1):
-        level, hot = _gram_level(docs, model, n, starts(shards, hot, shard_tokens))
+        after = _gram_level(docs, model, n, level, shard_tokens, n == order)
         model.levels.append(level)
+        level = after
     return model
 
 
