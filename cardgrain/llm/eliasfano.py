@@ -12,6 +12,11 @@ import struct
 import numpy as np
 
 CHUNK = 1 << 16
+_ONES = np.uint64(0x0101010101010101)
+_TOPS, _FIVES = _ONES * np.uint64(0x80), _ONES * np.uint64(0x55)
+_THREES, _NIBBLES = _ONES * np.uint64(0x33), _ONES * np.uint64(0x0F)
+# Place of the r-th set bit of a byte.
+_PLACE = np.array([([i for i in range(8) if byte >> i & 1] + [0] * 8)[:8] for byte in range(256)], np.int64)
 
 
 def _pack(low: np.ndarray, width: int) -> bytes:
@@ -62,15 +67,17 @@ class EliasFano:
 
     @staticmethod
     def _nth(word: np.ndarray, r: np.ndarray) -> np.ndarray:
-        """Place of the r-th (from 0) set bit of each word."""
-        place = np.zeros(len(word), np.int64)
-        for s in (32, 16, 8, 4, 2, 1):
-            count = np.bitwise_count(word & np.uint64((1 << s) - 1)).astype(np.int64)
-            up = r >= count
-            r = r - np.where(up, count, 0)
-            word = np.where(up, word >> np.uint64(s), word)
-            place += s * up
-        return place
+        """Place of the r-th (from 0) set bit of each word: its byte by the running
+        counts of set bits, held in one word, then the bit by a table."""
+        r = r.astype(np.uint64)
+        x = word - ((word >> np.uint64(1)) & _FIVES)
+        x = (x & _THREES) + ((x >> np.uint64(2)) & _THREES)
+        running = ((x + (x >> np.uint64(4))) & _NIBBLES) * _ONES
+        passed = np.bitwise_count(((r * _ONES | _TOPS) - running) & _TOPS).astype(np.uint64)
+        shift = np.minimum(passed, np.uint64(7)) << np.uint64(3)
+        r = r - (((running << np.uint64(8)) >> shift) & np.uint64(255))
+        byte = (word >> shift) & np.uint64(255)
+        return shift.astype(np.int64) + _PLACE[byte, np.minimum(r, np.uint64(7))]
 
     def _select0(self, k: np.ndarray) -> np.ndarray:
         w = np.searchsorted(self._zeros, k.astype(np.uint64), "right") - 1
@@ -87,11 +94,15 @@ class EliasFano:
         high = np.where(inside, high, 0)
         end = self._select0(high) - high
         start = np.where(high > 0, self._select0(np.maximum(high - 1, 0)) + 1 - high, 0)
-        last = end
-        while (open_ := start < last).any():
-            mid = (start + last) // 2
-            less = open_ & (self._lows(np.minimum(mid, self.n - 1)) < low)
-            start, last = np.where(less, mid + 1, start), np.where(open_ & ~less, mid, last)
+        open_ = np.flatnonzero(start < end)
+        a, b, want = start[open_], end[open_], low[open_]
+        while len(open_):
+            mid = (a + b) >> 1
+            less = self._lows(mid) < want
+            a, b = np.where(less, mid + 1, a), np.where(less, b, mid)
+            start[open_] = a
+            on = a < b
+            open_, a, b, want = open_[on], a[on], b[on], want[on]
         found = inside & (start < end)
         found &= self._lows(np.minimum(start, self.n - 1)) == low
         return np.where(found, start, -1)
