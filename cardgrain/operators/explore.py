@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from cardgrain.functions.scalars import inf_to_null, set_label, year_month_to_date
 from cardgrain.functions.selectors import contains
+from cardgrain.operators.ranks import dense_rank_codes
+from cardgrain.session import reliable_checkpoint
 
 
 def label_sets(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -126,9 +128,51 @@ def one_hot(df: DataFrame, factors: Sequence[str], keep: Sequence[str] = ()) ->
     for i, f in enumerate(factors):
         levels = [r[0] for r in df.select(f).distinct().orderBy(f).limit(10_001).collect()]
         if len(levels) > 10_000:
-            raise ValueError(f"{f} has over 10000 levels; not a categorical column")
+            raise ValueError(f"{f} has over 10000 levels: see one_hot_sparse")
         if i > 0:
             levels = levels[1:]
         out += [F.when(F.col(f) == F.lit(v), 1).otherwise(0).alias(f"{f}{v}") for v in levels]
     rest = [c for c in df.columns if c not in set(factors) | set(keep)]
     return df.select(*out, *rest)
+
+
+def one_hot_sparse(df: DataFrame, factors: Sequence[str], row: str) -> tuple[DataFrame, DataFrame]:
+    """The design matrix of :func:`one_hot` as triples, for any number of levels.
+
+    Returns ``(cells, columns)``: cells (row, column, value) without zeros, and the
+    columns (column, factor, level), numbered from 0: first the factors' levels
+    in order (the first factor keeps all, later ones drop their first), then the
+    other columns of ``df``. Levels are numbered by distributed positions; only each
+    factor's number of levels comes to the driver. Rows with a missing value are
+    left out; ``row`` names the column that tells rows apart.
+    """
+    df, factors = df.dropna(how="any"), list(factors)
+    rest = [c for c in df.columns if c not in {*factors, row}]
+    long = df.select(F.col(row), *[F.col(f).cast("string").alias(f) for f in factors]).unpivot(
+        [row], factors, "factor", "level")
+    # Sorted as values of their type, not as text.
+    levels = None
+    for i, f in enumerate(factors):
+        one = df.select(F.lit(i).alias("_f"), F.col(f).alias("_w")).distinct()
+        one = dense_rank_codes(one, "_w", "_code").select("_f", F.col("_w").cast("string").alias("_level"), "_code")
+        levels = one if levels is None else levels.unionByName(one)
+    levels = reliable_checkpoint(levels)
+    sizes = dict(levels.groupBy("_f").count().collect())
+    start, column = 0, F.lit(None).cast("long")
+    for i in range(len(factors)):
+        first = 1 if i == 0 else 2
+        column = F.when((F.col("_f") == i) & (F.col("_code") >= first),
+                        F.col("_code") - first + start).otherwise(column)
+        start += max(0, sizes.get(i, 0) - first + 1)
+    names = F.array(*map(F.lit, factors))
+    index = levels.select(names[F.col("_f")].alias("factor"), F.col("_level").alias("level"),
+                          column.cast("long").alias("column")).where(F.col("column").isNotNull())
+    cells = long.join(index, ["factor", "level"]).select(row, "column", F.lit(1.0).alias("value"))
+    columns = index.select("column", "factor", "level")
+    if rest:
+        numbers = df.select(row, F.posexplode(F.array(*[F.col(c).cast("double") for c in rest])))
+        cells = cells.unionByName(numbers.where(F.col("col") != 0).select(
+            row, (F.col("pos") + start).cast("long").alias("column"), F.col("col").alias("value")))
+        columns = columns.unionByName(df.sparkSession.createDataFrame(
+            [(start + i, c, None) for i, c in enumerate(rest)], "column long, factor string, level string"))
+    return cells, columns

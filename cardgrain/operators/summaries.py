@@ -28,17 +28,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardgrain.functions.scalars import epoch_seconds, flag_dummy
 from cardgrain.functions.selectors import quoted, select_pattern, stat_expr, suffix_collisions
 from cardgrain.operators.ranks import group_positions
+from cardgrain.sources.files import SOURCE_ORDER
 from cardgrain.sources.fixtures import ORDINAL
 
 KEY = "card_id"
 
 # Fixed values that must equal the reference's: the category levels that
-# become pivot columns, in the reference's column order, and the names the
-# new-period pivot columns are given.
+# become pivot columns in any case, in the reference's column order, and the names
+# the new-period pivot columns are given. Levels found beside them follow.
 CATEGORY_LEVELS = {
     "category_1": ["N", "Y"],
     "category_2": [1, 2, 3, 4, 5],
@@ -59,8 +61,39 @@ NEW_STAT_COLUMNS = HIST_STAT_COLUMNS + ["avg_purchases_lag3", "avg_purchases_lag
 HOT_ROWS = 200_000
 
 
-def hist_pivot_names(cat: str) -> list[str]:
-    return [f"hist_{v}" for v in CATEGORY_LEVELS[cat]]
+def hist_pivot_names(cat: str, levels: Sequence | None = None) -> list[str]:
+    return [f"hist_{v}" for v in (CATEGORY_LEVELS[cat] if levels is None else levels)]
+
+
+def new_pivot_names(cat: str, levels: Sequence | None = None) -> list[str]:
+    known = dict(zip(CATEGORY_LEVELS[cat], NEW_PIVOT_NAMES[cat])) if cat in CATEGORY_LEVELS else {}
+    return [known.get(v, f"new_{v}" if isinstance(v, str) else f"new{v}")
+            for v in (CATEGORY_LEVELS[cat] if levels is None else levels)]
+
+
+MOST_LEVELS = 10_000  # more columns than that are no pivot
+
+
+def pivot_levels(tx: DataFrame, cats: Sequence[str] = tuple(CATEGORY_LEVELS)) -> dict[str, list]:
+    """Per category the listed levels and then, sorted, all others in the data.
+
+    One distinct pass over the categories (partial per task); over
+    ``MOST_LEVELS`` levels of a category are an error.
+    """
+    cats = list(cats)
+    long = tx.select(*[F.col(c).cast("string").alias(c) for c in cats]).unpivot([], cats, "cat", "value")
+    rows = (long.where(F.col("value").isNotNull()).distinct()
+            .limit((MOST_LEVELS + 1) * len(cats)).collect())
+    out = {}
+    for c in cats:
+        kind = tx.schema[c].dataType
+        whole = isinstance(kind, T.IntegralType)
+        found = {int(r["value"]) if whole else r["value"] for r in rows if r["cat"] == c}
+        listed = list(CATEGORY_LEVELS.get(c, []))
+        out[c] = listed + sorted(found - set(listed))
+        if len(out[c]) > MOST_LEVELS:
+            raise ValueError(f"{c} has over {MOST_LEVELS} levels")
+    return out
 
 
 # ---------------------------------------------------------------------------
@@ -76,24 +109,33 @@ def category_counts(tx: DataFrame, cats: Sequence[str] = tuple(CATEGORY_LEVELS),
 
 
 def pivot_counts(tx: DataFrame, cat: str, names: Sequence[str] | None = None,
-                 key: str = KEY) -> DataFrame:
-    """One column per listed level; a level a card never shows stays null.
+                 key: str = KEY, levels: Sequence | None = None) -> DataFrame:
+    """One column per level; a level a card never shows stays null.
 
-    Missing and unlisted values get no column (the reference drops the NA
-    column by position).
+    ``levels``: None takes those of :func:`pivot_levels`; a value of the data that
+    an explicit list misses ends the job with an error. Missing values get no
+    column (the reference drops the NA column by position). ``names`` name the
+    first columns, further ones follow the same pattern.
     """
-    levels = CATEGORY_LEVELS[cat]
-    names = list(names or hist_pivot_names(cat))
-    wide = tx.groupBy(key).pivot(cat, levels).agg(F.count(F.lit(1)))
-    return wide.select(key, *[F.col(str(v)).alias(n) for v, n in zip(levels, names)])
+    strict, levels = levels is not None, list(levels) if levels is not None else pivot_levels(tx, [cat])[cat]
+    pattern = new_pivot_names if names and str(names[0]).startswith("new") else hist_pivot_names
+    names = [*(names or []), *pattern(cat, levels)[len(names or []):]]
+    return tx.groupBy(key).agg(*pivot_exprs(cat, names, levels, strict))
 
 
-def pivot_exprs(cat: str, names: Sequence[str]) -> list[Column]:
-    """The pivot as conditional counts, for use inside a fused aggregate."""
+def pivot_exprs(cat: str, names: Sequence[str], levels: Sequence | None = None,
+                strict: bool = False) -> list[Column]:
+    """The pivot as conditional counts, for use inside a fused aggregate. A ``strict`` one
+    fails on a value that is not among its levels."""
     def lit(v):
-        return f"'{v}'" if isinstance(v, str) else str(v)
-    return [F.expr(f"nullif(count_if({quoted(cat)} = {lit(v)}), 0) AS {quoted(n)}")
-            for v, n in zip(CATEGORY_LEVELS[cat], names)]
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(v, str) else str(v)
+    levels = CATEGORY_LEVELS[cat] if levels is None else levels
+    out = [f"nullif(count_if({quoted(cat)} = {lit(v)}), 0)" for v in levels]
+    if strict and out:
+        known = ", ".join(map(lit, levels))
+        out[0] = (f"CASE WHEN count_if({quoted(cat)} NOT IN ({known})) > 0 THEN "
+                  f"raise_error({lit(f'{cat} has a level that is not listed')}) ELSE {out[0]} END")
+    return [F.expr(f"{e} AS {quoted(n)}") for e, n in zip(out, names)]
 
 
 def distinct_columns(df: DataFrame) -> list[str]:
@@ -222,8 +264,13 @@ def mean_gap(df: DataFrame, prefix: str = "", key: str = KEY) -> DataFrame:
         F.when(n > 1, (F.max(t) - F.min(t)) / (n - 1)).alias(f"{prefix}avg_gap"))
 
 
+def source_order(df: DataFrame) -> list[str]:
+    """The columns that order rows as in their source: those made when reading, else the fixtures'."""
+    return list(SOURCE_ORDER if set(SOURCE_ORDER) <= set(df.columns) else ORDINAL)
+
+
 def order_distance(df: DataFrame, name: str = "avg_term", key: str = KEY,
-                   order: Sequence[str] = tuple(ORDINAL), x: str = "purchase_date",
+                   order: Sequence[str] | None = None, x: str = "purchase_date",
                    hot_rows: int = HOT_ROWS) -> DataFrame:
     """Mean absolute step of row positions when rows are sorted by ``x``.
 
@@ -237,6 +284,7 @@ def order_distance(df: DataFrame, name: str = "avg_term", key: str = KEY,
     hot cards has at most ``rows / hot_rows`` members, which bounds the
     broadcast used to split the input.
     """
+    order = source_order(df) if order is None else list(order)
     return by_card_size(df.select(key, x, *order),
                         lambda part, hot: order_distance_part(part, hot, name, key, order, x),
                         key, hot_rows)
@@ -252,13 +300,18 @@ def order_distance_part(part: DataFrame, hot: bool, name: str = "avg_term", key:
     return _order_distance_window(base, name, key, order, x)
 
 
-def _order_distance_window(base: DataFrame, name: str, key: str, order: list[str],
-                           x: str) -> DataFrame:
+def _with_steps(base: DataFrame, key: str, order: Sequence[str], x: str) -> DataFrame:
+    """Adds ``_step``: how far apart in source order a row and the one before it by ``x`` are.
+    Both windows need the card's rows together, once."""
     by_source = Window.partitionBy(key).orderBy(*order)
     by_x = Window.partitionBy(key).orderBy(F.col(x).asc_nulls_last(), F.col("_idx"))
-    steps = (base.withColumn("_idx", F.row_number().over(by_source))
-             .withColumn("_step", F.abs(F.col("_idx") - F.lag("_idx").over(by_x))))
-    return steps.groupBy(key).agg(F.avg("_step").alias(name))
+    return (base.withColumn("_idx", F.row_number().over(by_source))
+            .withColumn("_step", F.abs(F.col("_idx") - F.lag("_idx").over(by_x))))
+
+
+def _order_distance_window(base: DataFrame, name: str, key: str, order: list[str],
+                           x: str) -> DataFrame:
+    return _with_steps(base, key, order, x).groupBy(key).agg(F.avg("_step").alias(name))
 
 
 def _order_distance_ranged(base: DataFrame, name: str, key: str, order: list[str],
@@ -276,30 +329,42 @@ def _order_distance_ranged(base: DataFrame, name: str, key: str, order: list[str
 # Merchant join
 # ---------------------------------------------------------------------------
 
+FEW_MERCHANTS = 100_000  # merchants without a key that may be broadcast
+
+
 def merge_merchants(new: DataFrame, merchants: DataFrame, key: str = "merchant_id",
                     suffix: tuple[str, str] = ("_new", "_m"),
-                    null_keys_match: bool = False) -> DataFrame:
+                    null_keys_match: bool = True) -> DataFrame:
     """Left join of transactions to merchants; duplicate merchants fan out.
 
     Non-key columns present on both sides get ``suffix``. Transactions with a
-    missing key cannot match a merchant with a key, so they skip the join and
-    are added back with empty merchant columns: they never pile up in the one
-    shuffle partition that null keys hash to. With ``null_keys_match`` a
-    missing key matches merchants with a missing key (R's default).
-    Broadcasting the merchant side is left to AQE, which does it only when
-    the measured size is under the broadcast threshold.
+    missing key match the merchants with a missing key (R's default; not with
+    ``null_keys_match`` off). They skip the join, so that they never pile up in
+    the one shuffle partition that null keys hash to: where there is no such
+    merchant, empty columns are added to them; up to ``FEW_MERCHANTS`` (counted)
+    are broadcast to them; more are copied once per shuffle partition, to meet the
+    transactions dealt out by a hash of the whole row. Broadcasting the merchants with
+    a key is left to AQE, which does it only when the measured size is under
+    the broadcast threshold.
     """
     left, right = suffix_collisions(new, merchants, [key], suffix)
     right = right.withColumnRenamed(key, "_mkey")
     right_cols = [c for c in right.columns if c != "_mkey"]
-    if null_keys_match:
-        joined = left.join(right, left[key].eqNullSafe(right["_mkey"]), "left")
-        return joined.drop("_mkey")
     keyed = left.filter(F.col(key).isNotNull())
     joined = keyed.join(right, keyed[key] == right["_mkey"], "left").drop("_mkey")
-    missing = left.filter(F.col(key).isNull()).select(
-        *left.columns,
-        *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right_cols])
+    missing, lone = left.filter(F.col(key).isNull()), right.filter(F.col("_mkey").isNull())
+    n = lone.limit(FEW_MERCHANTS + 1).count() if null_keys_match else 0
+    if not n:
+        missing = missing.select(*left.columns, *[
+            F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right_cols])
+    else:
+        salts = 1
+        if n > FEW_MERCHANTS:
+            salts = int(new.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        lone = lone.drop("_mkey").withColumn("_salt", F.explode(F.array(*map(F.lit, range(salts)))))
+        dealt = missing.withColumn("_deal", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+        missing = dealt.join(F.broadcast(lone) if salts == 1 else lone,
+                             F.col("_deal") == F.col("_salt"), "left").select(*left.columns, *right_cols)
     return joined.unionByName(missing)
 
 
@@ -307,59 +372,72 @@ def merge_merchants(new: DataFrame, merchants: DataFrame, key: str = "merchant_i
 # Fused summaries
 # ---------------------------------------------------------------------------
 
-def hist_summary(hist: DataFrame, exact: bool = True, hot_rows: int = HOT_ROWS,
-                 key: str = KEY, hot_keys=None) -> DataFrame:
-    """Historical per-card summary: 24 stats, distinct counts, terms, pivots."""
-    dcols = distinct_columns(hist)
+def _summary(rows: DataFrame, prefix: str, columns: Sequence[str], exact: bool, key: str, hot_rows: int,
+             hot_keys, pivots: list[Column]) -> DataFrame:
+    """Statistics, distinct counts, terms, order distance and ``pivots`` per card.
+
+    Cards that are not hot are shuffled once: the windows of the order distance
+    and the aggregate share that partitioning. Hot cards take the fused
+    aggregate (partial sums) and the ranged positions, joined on the card.
+    """
+    dcols, name = distinct_columns(rows), f"{prefix}avg_term"
 
     def build(part: DataFrame, hot: bool) -> DataFrame:
-        stats = HIST_STAT_COLUMNS
         aggs = ([stat_expr(fn, c, name=f"{c}_{fn}") for fn in ("sum", "mean", "min", "max", "sd")
-                 for c in stats] + term_exprs("")
-                + [e for cat in CATEGORY_LEVELS for e in pivot_exprs(cat, hist_pivot_names(cat))])
-        distinct = ([distinct_expr(c, exact, hot).alias(f"{c}_n_distinct") for c in stats]
+                 for c in columns] + term_exprs(prefix) + pivots)
+        distinct = ([distinct_expr(c, exact, hot).alias(f"{c}_n_distinct") for c in columns]
                     + [distinct_expr(c, exact, hot).alias(c) for c in dcols])
-        fused = fused_aggregate(with_dummy_flag(part), key, aggs, distinct, hot)
-        dist = order_distance_part(part, hot, "avg_term", key)
-        return join_on_key(fused, dist, key)
+        flagged = with_dummy_flag(part)
+        if hot:
+            fused = fused_aggregate(flagged, key, aggs, distinct, hot)
+            return join_on_key(fused, order_distance_part(part, hot, name, key, source_order(rows)), key)
+        steps = _with_steps(flagged, key, source_order(rows), "purchase_date")
+        return steps.groupBy(key).agg(*aggs, *distinct, F.avg("_step").alias(name))
+
+    return by_card_size(rows, build, key, hot_rows, hot_keys)
+
+
+def _columns_of(rows: DataFrame, prefix: str, columns: Sequence[str]) -> list[str]:
+    return ([f"{c}_{fn}" for fn in ("sum", "mean", "min", "max", "sd", "n_distinct") for c in columns]
+            + distinct_columns(rows) + [f"{prefix}no_trans", f"{prefix}pur_term", f"{prefix}avg_term"])
 
-    return _order_hist(by_card_size(hist, build, key, hot_rows, hot_keys), hist)
+
+def hist_summary(hist: DataFrame, exact: bool = True, hot_rows: int = HOT_ROWS,
+                 key: str = KEY, hot_keys=None, levels: dict[str, list] | None = None) -> DataFrame:
+    """Historical per-card summary: 24 stats, distinct counts, terms, pivots.
+
+    ``levels`` of the pivots as in :func:`pivot_counts`.
+    """
+    strict, levels = levels is not None, pivot_levels(hist) if levels is None else levels
+    pivots = [e for cat, v in levels.items() for e in pivot_exprs(cat, hist_pivot_names(cat, v), v, strict)]
+    out = _summary(hist, "", HIST_STAT_COLUMNS, exact, key, hot_rows, hot_keys, pivots)
+    return out.select(key, *_columns_of(hist, "", HIST_STAT_COLUMNS),
+                      *[n for cat, v in levels.items() for n in hist_pivot_names(cat, v)])
 
 
-def _order_hist(out: DataFrame, hist: DataFrame) -> DataFrame:
-    stats = [f"{c}_{fn}" for fn in ("sum", "mean", "min", "max", "sd", "n_distinct")
-             for c in HIST_STAT_COLUMNS]
-    cols = ([KEY] + stats + distinct_columns(hist) + ["no_trans", "pur_term", "avg_term"]
-            + [n for cat in CATEGORY_LEVELS for n in hist_pivot_names(cat)])
-    return out.select(*cols)
+def most_copies(merchants: DataFrame, key: str = "merchant_id") -> int:
+    """How often the most listed merchant is listed: no transaction fans out further."""
+    return merchants.groupBy(key).count().agg(F.max("count")).first()[0] or 1
 
 
 def new_summary(new: DataFrame, merchants: DataFrame, exact: bool = True,
-                hot_rows: int = HOT_ROWS, null_keys_match: bool = False,
-                key: str = KEY, hot_keys=None) -> DataFrame:
+                hot_rows: int = HOT_ROWS, null_keys_match: bool = True,
+                key: str = KEY, hot_keys=None, levels: dict[str, list] | None = None) -> DataFrame:
     """New-period per-card summary.
 
     Pivot counts come from the transactions *before* the merchant join; all
-    other blocks from the joined rows, so duplicate merchants change them.
+    other blocks from the joined rows, so duplicate merchants change them. Hot
+    cards are told by their transactions times the most copies of a merchant,
+    so that the join is not run for the probe. ``levels`` as in :func:`hist_summary`.
     """
+    if hot_keys is None:
+        hot_keys = hot_key_table(new, key, hot_rows // most_copies(merchants))
+        hot_keys = NO_HOT if hot_keys.isEmpty() else hot_keys
+    strict, levels = levels is not None, pivot_levels(new) if levels is None else levels
     merged = merge_merchants(new, merchants, null_keys_match=null_keys_match)
-    dcols = distinct_columns(merged)
-
-    def build(part: DataFrame, hot: bool) -> DataFrame:
-        stats = NEW_STAT_COLUMNS
-        aggs = ([stat_expr(fn, c, name=f"{c}_{fn}") for fn in ("sum", "mean", "min", "max", "sd")
-                 for c in stats] + term_exprs("new_"))
-        distinct = ([distinct_expr(c, exact, hot).alias(f"{c}_n_distinct") for c in stats]
-                    + [distinct_expr(c, exact, hot).alias(c) for c in dcols])
-        fused = fused_aggregate(with_dummy_flag(part), key, aggs, distinct, hot)
-        dist = order_distance_part(part, hot, "new_avg_term", key)
-        return join_on_key(fused, dist, key)
-
-    pivots = new.groupBy(key).agg(
-        *[e for cat in CATEGORY_LEVELS for e in pivot_exprs(cat, NEW_PIVOT_NAMES[cat])])
-    out = join_on_key(by_card_size(merged, build, key, hot_rows, hot_keys), pivots, key)
-    stats = [f"{c}_{fn}" for fn in ("sum", "mean", "min", "max", "sd", "n_distinct")
-             for c in NEW_STAT_COLUMNS]
-    cols = ([key] + stats + dcols + ["new_no_trans", "new_pur_term", "new_avg_term"]
-            + [n for cat in CATEGORY_LEVELS for n in NEW_PIVOT_NAMES[cat]])
-    return out.select(*cols)
+    pivots = new.groupBy(key).agg(*[
+        e for cat, v in levels.items() for e in pivot_exprs(cat, new_pivot_names(cat, v), v, strict)])
+    out = join_on_key(_summary(merged, "new_", NEW_STAT_COLUMNS, exact, key, hot_rows, hot_keys, []),
+                      pivots, key)
+    return out.select(key, *_columns_of(merged, "new_", NEW_STAT_COLUMNS),
+                      *[n for cat, v in levels.items() for n in new_pivot_names(cat, v)])

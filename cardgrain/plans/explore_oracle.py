@@ -24,6 +24,9 @@ def _reg() -> None:
     SQL["src_first_n"] = with_roles(
         ["histdata"], _round_cols(TX_DOUBLES, f"(SELECT * FROM histdata ORDER BY {ORDINAL_SQL} "
                                               "LIMIT 200000) f"))
+    SQL["src_first_n_cut"] = with_roles(
+        ["histdata"], _round_cols(TX_DOUBLES, f"(SELECT * FROM histdata ORDER BY {ORDINAL_SQL} "
+                                              "LIMIT 20000) f"))
     counts = []
     for name, ncol in (("train", 6), ("test", 5), ("histdata", 15), ("newdata", 15),
                        ("merchants", 7)):
@@ -45,6 +48,10 @@ def _reg() -> None:
                      f"{r4(mx)} AS max_value FROM histdata")
     SQL["profile_table"] = with_roles(["histdata"], " UNION ALL ".join(parts))
 
+    SQL["profile_bounds"] = with_roles(["histdata"], " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) - count({c}) AS n_null, CAST(min({c}) AS VARCHAR) AS min_text, "
+        f"CAST(max({c}) AS VARCHAR) AS max_text FROM histdata"
+        for c in ("authorized_flag", "category_1", "category_3", "purchase_date")))
     # --- projection and scalars
     SQL["select_pattern"] = with_roles(
         ["histdata"], f"SELECT card_id, merchant_id, merchant_category_id, {r4('purchase_amount')} "
@@ -181,6 +188,22 @@ GROUP BY d.feature, g.point, g.x, d.bw, d.n""", [
     ranks_long = " UNION ALL ".join(
         f"SELECT card_id, '{c}' AS col, rank() OVER (ORDER BY {c}) + "
         f"(count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS r FROM oh" for c in oh_cols)
+    full = ("SELECT * FROM train WHERE feature_1 IS NOT NULL AND feature_2 IS NOT NULL "
+            "AND feature_3 IS NOT NULL AND target IS NOT NULL")
+    SQL["one_hot_cells"] = with_roles(["train"], f"""
+SELECT card_id, CAST(c AS BIGINT) AS "column", {r4('v')} AS value FROM (
+  SELECT card_id, dense_rank() OVER (ORDER BY feature_1) - 1 AS c, CAST(1 AS DOUBLE) AS v FROM full_rows
+  UNION ALL
+  SELECT card_id, n1 + r - 2, CAST(1 AS DOUBLE) FROM (
+    SELECT card_id, dense_rank() OVER (ORDER BY feature_2) AS r FROM full_rows),
+    (SELECT count(DISTINCT feature_1) AS n1 FROM full_rows) WHERE r > 1
+  UNION ALL
+  SELECT card_id, n - 1, CAST(feature_3 AS DOUBLE) FROM full_rows,
+    (SELECT count(DISTINCT feature_1) + count(DISTINCT feature_2) AS n FROM full_rows) WHERE feature_3 <> 0
+  UNION ALL
+  SELECT card_id, n, target FROM full_rows,
+    (SELECT count(DISTINCT feature_1) + count(DISTINCT feature_2) AS n FROM full_rows) WHERE target <> 0) x""",
+        [("full_rows", full)])
     SQL["spearman_matrix"] = with_roles(["train"], f"""
 SELECT a.col AS col_a, b.col AS col_b,
  {r4('CASE WHEN stddev_pop(a.r) = 0 OR stddev_pop(b.r) = 0 THEN NULL ELSE corr(a.r, b.r) END')} AS rho

@@ -39,6 +39,12 @@ def src_first_n(spark, d):
     return files.first_n(_r(spark, d, "histdata"), ORDINAL, FIRST_N)
 
 
+@query("src_first_n_cut")
+def src_first_n_cut(spark, d):
+    """The first 20,000 historical transactions in source order: a cap that cuts."""
+    return files.first_n(_r(spark, d, "histdata"), ORDINAL, FIRST_N // 10)
+
+
 @query("sink_roundtrip")
 def sink_roundtrip(spark, d):
     """Five tables saved as one parquet bundle and loaded again: rows per table."""
@@ -68,7 +74,14 @@ def sink_features_csv(spark, d):
 @query("profile_table")
 def profile_table(spark, d):
     """Shape and per-column missing count / min / max of the historical table."""
-    return profile(_r(spark, d, "histdata"))
+    return profile(_r(spark, d, "histdata")).drop("min_text", "max_text")
+
+
+@query("profile_bounds")
+def profile_bounds(spark, d):
+    """Bounds of the historical table's text and time columns, as text."""
+    h = _r(spark, d, "histdata").select("authorized_flag", "category_1", "category_3", "purchase_date")
+    return profile(h).select("column_name", "n_null", "min_text", "max_text")
 
 
 # --- projection and scalar functions --------------------------------------
@@ -156,6 +169,13 @@ def one_hot_cards(spark, d):
     return _one_hot(spark, d)
 
 
+@query("one_hot_cells")
+def one_hot_cells(spark, d):
+    """The same design matrix as (card, column, value) triples, without zeros."""
+    t = _r(spark, d, "train").drop("first_active_month")
+    return X.one_hot_sparse(t, ["feature_1", "feature_2"], "card_id")[0]
+
+
 # --- aggregates and windows -------------------------------------------------
 
 @query("cards_by_month_set")

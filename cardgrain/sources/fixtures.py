@@ -153,6 +153,18 @@ def bundle(spark: SparkSession, sf_dir: str) -> str:
         return _BUNDLES.get(key) or _write_bundle(spark, sf_dir, key)
 
 
+FILE_BYTES = 256 << 20
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Stored size of files and folders."""
+    sc, total = spark.sparkContext, 0
+    for path in paths:
+        where = sc._jvm.org.apache.hadoop.fs.Path(path)
+        total += where.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+    return total
+
+
 def _write_bundle(spark: SparkSession, sf_dir: str, key: tuple[str, str]) -> str:
     from cardgrain.session import checkpoint_dir
 
@@ -164,7 +176,9 @@ def _write_bundle(spark: SparkSession, sf_dir: str, key: tuple[str, str]) -> str
     # parallel even when a driver table is a single row group. The hash
     # includes the order key, so a card holding a third of all rows is
     # spread over every file instead of becoming one huge write task.
-    files = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    # From a certain size on, their number follows the bytes read.
+    size = input_bytes(spark, [f"{sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "part")])
+    files = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-size // FILE_BYTES))
     (tx.repartition(files, "card_id", "l_orderkey", "l_linenumber")
      .write.partitionBy("period").parquet(f"{path}/tx"))
     for name in ("merchants", "merchants_dup", "cards"):

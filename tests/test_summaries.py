@@ -87,7 +87,7 @@ def _new_rows(spark, keys):
 
 def test_null_keys_match_only_when_asked(spark):
     new, m = _new_rows(spark, [None]), _merchant_rows(spark, [None])
-    plain = summ.merge_merchants(new, m).collect()
+    plain = summ.merge_merchants(new, m, null_keys_match=False).collect()
     assert len(plain) == 1 and plain[0].merchant_category_id_m is None
     safe = summ.merge_merchants(new, m, null_keys_match=True).collect()
     assert len(safe) == 1 and safe[0].merchant_category_id_m == 7
