@@ -17,13 +17,14 @@ ASCII_SPACE = r"[\x20\x09-\x0D]+"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings for whole texts in Arrow batches (few rows per batch) and
+    """Session settings for whole texts in Arrow batches (few rows, and few bytes unless one text has more) and
     for joins: a side is broadcast by its measured size only if it is small even
     unpacked; larger sides are joined by shuffles that AQE splits where skewed."""
     for key in ("spark.sql.autoBroadcastJoinThreshold",
                 "spark.sql.adaptive.autoBroadcastJoinThreshold"):
         spark.conf.set(key, "2m")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "32m")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 

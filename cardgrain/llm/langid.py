@@ -1,9 +1,9 @@
 """Language identification with bit-sliced Bloom filters of character n-grams.
 
-Each language has a Bloom filter of the n-grams that make up at least
-``min_rate`` of its training text, so a filter holds 1/min_rate n-grams at
-most, whatever the corpus. The filters are stored bit-sliced: slot i
-holds one bit for every language. A lookup ANDs the slots of an n-gram's
+Each language has a Bloom filter of its most frequent n-grams, as many as make up
+``share`` of the n-grams of its training text: every language knows that share
+of its own text, whatever its script and the size of the corpus. The filters
+are stored bit-sliced: slot i holds one bit for every language. A lookup ANDs the slots of an n-gram's
 hashes and returns all languages that contain it at once. A text's hits are
 counted per language (a population count over its n-grams), corrected for
 each filter's false-positive rate, and the highest corrected share decides.
@@ -15,17 +15,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardgrain.llm.common import arrow_map, materialize
 
 ORDERS = (3, 4)
-MIN_RATE = 2e-5
+SHARE = 0.95
+JOINED = 1 << 20  # characters of texts that are hashed together
 HASHES = 3
 SLOTS_PER_GRAM = 16
 BLOCK_CHARS = 1 << 20
-WORDSIZE = 64
 
 
 def _codes(text: str) -> np.ndarray:
@@ -68,7 +68,7 @@ def grams(text: str | None, orders=ORDERS):
 
 @dataclass
 class Filters:
-    """Bit-sliced filters: ``slots`` (slots x words of 64 languages), the languages
+    """Bit-sliced filters: ``slots`` (slots x words, a bit for each language), the languages
     in order, and every language's false-positive rate."""
 
     languages: list[str]
@@ -76,15 +76,27 @@ class Filters:
     false_rate: np.ndarray
     prior: int
 
+    @classmethod
+    def empty(cls, languages: list[str], size: int) -> Filters:
+        """Words of 8, 16, 32 or 64 languages, the fewest bytes that hold all."""
+        bits = next((b for b in (8, 16, 32) if len(languages) <= b), 64)
+        words = -(-max(1, len(languages)) // bits)
+        return cls(languages, np.zeros((size, words), f"uint{bits}"), np.zeros(len(languages)), 0)
+
+    def place(self, language: int):
+        """(word, mask) of a language's bit."""
+        bits = 8 * self.slots.itemsize
+        return language // bits, self.slots.dtype.type(1 << (language % bits))
+
     def _at(self, h: np.ndarray) -> list[np.ndarray]:
         size = np.uint64(len(self.slots))
         step = (h >> np.uint64(33)) | np.uint64(1)
         return [((h + np.uint64(k) * step) % size).astype(np.int64) for k in range(HASHES)]
 
     def add(self, language: int, h: np.ndarray) -> None:
-        bit = np.uint64(1 << (language % WORDSIZE))
+        word, bit = self.place(language)
         for at in self._at(h):
-            self.slots[at, language // WORDSIZE] |= bit
+            self.slots[at, word] |= bit
 
     def masks(self, h: np.ndarray) -> np.ndarray:
         """Bit mask of the languages that contain each n-gram."""
@@ -100,8 +112,8 @@ class Filters:
             m = self.masks(h)
             total += len(h)
             for lang in range(len(self.languages)):
-                counts[lang] += np.count_nonzero(
-                    m[:, lang // WORDSIZE] & np.uint64(1 << (lang % WORDSIZE)))
+                word, bit = self.place(lang)
+                counts[lang] += np.count_nonzero(m[:, word] & bit)
         return counts, total
 
     def predict(self, text: str | None, orders=ORDERS) -> tuple[str, float, float]:
@@ -119,12 +131,27 @@ class Filters:
         return self.languages[best], float(share[best] / share.sum()), float(share[best])
 
 
-def learn(docs: DataFrame, orders=ORDERS, min_rate: float = MIN_RATE) -> Filters:
+def _joined(texts: list[str]):
+    """Texts put together, up to about ``JOINED`` characters at once."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t)
+        if size >= JOINED:
+            yield "\n".join(held)
+            held, size = [], 0
+    if held:
+        yield "\n".join(held)
+
+
+def learn(docs: DataFrame, orders=ORDERS, share: float = SHARE) -> Filters:
     """Filters from all rows of ``docs`` (text, lang) with a text and a lang.
 
     N-grams are counted over whole texts: first in every task, then by
-    (language, n-gram). Only those at or above ``min_rate`` come to the driver,
-    at most 1/min_rate for each language.
+    (language, n-gram). Each language's least count is the one from which on its
+    n-grams make up ``share`` of all; it is found from the numbers of n-grams
+    by count. The n-grams kept come to the driver and make up the filters:
+    they grow with the n-grams that cover a language, not with its texts.
     """
     def count(batches):
         held: dict[str, list] = {}
@@ -143,7 +170,7 @@ def learn(docs: DataFrame, orders=ORDERS, min_rate: float = MIN_RATE) -> Filters
             for text, lang in zip(b["text"], b["lang"]):
                 joined.setdefault(lang, []).append(text)
             for lang, texts in joined.items():
-                for t in ("\n".join(texts[i:i + 100]) for i in range(0, len(texts), 100)):
+                for t in _joined(texts):
                     for h in grams(t, orders):
                         u, n = np.unique(h, return_counts=True)
                         held.setdefault(lang, []).append((u, n))
@@ -163,21 +190,27 @@ def learn(docs: DataFrame, orders=ORDERS, min_rate: float = MIN_RATE) -> Filters
     counts = arrow_map(rows, count, "lang string, h long, n long").groupBy("lang", "h").agg(
         F.sum("n").alias("n"))
     counts = materialize(counts, "grams")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    kept = counts.join(F.broadcast(totals), "lang").where(
-        F.col("n") >= F.col("total") * min_rate).select("lang", "h", "total").toArrow()
+    # A row per language and distinct count: far fewer than n-grams, as counts repeat.
+    by_count = counts.groupBy("lang", "n").agg((F.col("n") * F.count("*")).alias("tokens"))
+    falling = Window.partitionBy("lang").orderBy(F.desc("n"))
+    least = (by_count.withColumn("before", F.sum("tokens").over(falling) - F.col("tokens"))
+             .withColumn("total", F.sum("tokens").over(Window.partitionBy("lang")))
+             .where(F.col("before") < F.col("total") * share)
+             .groupBy("lang").agg(F.min("n").alias("least"), F.first("total").alias("total")))
+    kept = counts.join(F.broadcast(least), "lang").where(  # a row per language
+        F.col("n") >= F.col("least")).select("lang", "h", "total").toArrow()
     langs = sorted(set(kept["lang"].to_pylist()))
     h = kept["h"].to_numpy().view(np.uint64)
     lang = np.array(kept["lang"].to_pylist(), object)
     total = kept["total"].to_numpy()
     most = max([int((lang == x).sum()) for x in langs], default=1)
     slots = max(1024, SLOTS_PER_GRAM * most)
-    out = Filters(langs, np.zeros((slots, -(-max(1, len(langs)) // WORDSIZE)), np.uint64),
-                  np.zeros(len(langs)), 0)
+    out = Filters.empty(langs, slots)
     for i, name in enumerate(langs):
         out.add(i, h[lang == name])
     for i in range(len(langs)):
-        fill = np.count_nonzero(out.slots[:, i // WORDSIZE] & np.uint64(1 << (i % WORDSIZE))) / slots
+        word, bit = out.place(i)
+        fill = np.count_nonzero(out.slots[:, word] & bit) / slots
         out.false_rate[i] = fill ** HASHES
     if langs:
         out.prior = int(np.argmax([total[lang == x].max() for x in langs]))

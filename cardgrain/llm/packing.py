@@ -44,7 +44,8 @@ def cut(length: int, capacity: int, least_cut: int) -> list[int]:
 
 
 class Packer:
-    """Fills the classes of one worker; pieces are (row, start, length)."""
+    """Fills the classes of one worker. A piece is (doc_id, doc_tokens, start, ids): it
+    holds its own ids only, so what is open is less than a sequence for each class."""
 
     def __init__(self, capacity: int, least_cut: int, first_id: int):
         self.capacity, self.least_cut, self.next_id = capacity, least_cut, first_id
@@ -52,39 +53,37 @@ class Packer:
 
     def _close(self, pieces: list) -> list:
         out, at = [], 0
-        for row, start, length in pieces:
-            out.append((row, start, length, self.next_id, at))
-            at += length
+        for doc_id, total, start, ids in pieces:
+            n = len(ids) // 4
+            out.append((doc_id, start, n, zlib.crc32(ids), total, self.next_id, at))
+            at += n
         self.next_id += 1
         return out
 
-    def add(self, row, length: int) -> list:
-        """Pieces of the sequences that this document completes."""
-        out, start = [], 0
-        for n in cut(length, self.capacity, self.least_cut):
+    def add(self, doc_id, ids: bytes) -> list:
+        """Rows of the pieces of the sequences that this document completes."""
+        out, start, total = [], 0, len(ids) // 4
+        for n in cut(total, self.capacity, self.least_cut):
             k = self.capacity // n
-            self.open[k].append((row, start, n))
+            self.open[k].append((doc_id, total, start, bytes(ids[4 * start:4 * (start + n)])))
             start += n
             if len(self.open[k]) == k:
                 out += self._close(self.open.pop(k))
         return out
 
     def rest(self) -> list:
-        """Pieces of the sequences that the open classes make at the end."""
+        """Rows of the sequences that the open classes make at the end."""
         out, now, room = [], [], self.capacity
         left = [p for k in sorted(self.open) for p in self.open[k]]
-        total = sum(n for _, _, n in left)
+        total = sum(len(p[3]) // 4 for p in left)
         self.open.clear()
-        for row, start, n in left:
-            while n:
+        for doc_id, tokens, start, ids in left:
+            while ids:
                 if room == self.capacity and total < self.capacity:  # the last: powers of two
                     room = 1 << (total.bit_length() - 1)
-                    goal = room
-                elif room == self.capacity:
-                    goal = room
-                take = min(n, room)
-                now.append((row, start, take))
-                start, n, room, total = start + take, n - take, room - take, total - take
+                take = min(len(ids) // 4, room)
+                now.append((doc_id, tokens, start, ids[:4 * take]))
+                start, ids, room, total = start + take, ids[4 * take:], room - take, total - take
                 if room == 0:
                     out += self._close(now)
                     now, room = [], self.capacity
@@ -111,25 +110,15 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 2048,
     def run(batches: Iterator[dict]):
         encoder = WordEncoder.of(tokenizer)
         packer = Packer(capacity, least_cut, TaskContext.get().partitionId() << 33)
-        held: dict[int, tuple] = {}  # documents with pieces in open sequences
         names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
         def rows(placed):
-            cols = [[] for _ in names]
-            for row, start, length, seq, at in placed:
-                doc_id, ids, total = row
-                crc = zlib.crc32(ids[4 * start:4 * (start + length)])
-                for c, v in zip(cols, (doc_id, start, length, crc, total, seq, at)):
-                    c.append(v)
-            return dict(zip(names, cols))
+            return dict(zip(names, map(list, zip(*placed)) if placed else [[] for _ in names]))
 
         for b in batches:
             done = []
             for doc_id, ids in zip(b["doc_id"], encoder.encode(b["text"])):
-                ids += end
-                done += packer.add((doc_id, ids, len(ids) // 4), len(ids) // 4)
-            del held
-            held = {}
+                done += packer.add(doc_id, ids + end)
             yield rows(done)
         yield rows(packer.rest())
 
