@@ -2,11 +2,12 @@
 
 Equal vectors of a label are one node. Every node starts with the nearest
 nodes it shares leaves of random-hyperplane trees with; then neighbour lists
-are refined by joining neighbours of neighbours until few of them change. Two
-nodes are linked where their cosine, in double precision, is at least the
-threshold. A list holds only so many links and may miss some among nodes known
-to be connected, so every component of three or more nodes is compared whole,
-in blocks. An audit compares samples of
+are refined by joining neighbours of neighbours until few of them change. A list
+that is full of links is saturated: there may be more, so it is enlarged to twice
+its size, up to ``LARGEST``. Two nodes are linked where their cosine, in double
+precision, is at least the threshold. A list holds only so many links and may miss
+some among nodes known to be connected, so every component of three or more nodes
+is compared whole, in blocks. An audit compares samples of
 nodes, inside and outside those components, with all others; while too many of
 them lack a link, new trees and refinements are added. If the passes run out,
 all nodes of a label are compared, block by block.
@@ -28,6 +29,8 @@ AUDIT = 2048  # nodes of an audit sample
 EVIDENCE = 400  # audited nodes with a link that a verdict needs
 PER_COMPONENT = 32  # nodes that the audit takes of a component compared whole
 EXACT = 2048  # nodes of a block when all are compared
+LARGEST = 64  # entries of an enlarged list; what such a list lacks, its component's blocks find
+HOT_SHARE = 1000  # components of over 1/1000 of all nodes are joined apart
 
 
 def _unit(vecs) -> np.ndarray:
@@ -75,8 +78,8 @@ def _roots(adjacent: np.ndarray) -> np.ndarray:
         label = nxt
 
 
-def _join_groups(members: DataFrame, k: int, threshold: float) -> DataFrame:
-    """(a, b, sim): in every group of ``members`` (grp, nid, vec), each node's ``k``
+def _join_groups(members: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, sim): in every group of ``members`` (grp, nid, vec, k), each node's own ``k``
     nearest, and a link from each node to the root of those it is linked with
     (sim null: they are connected, not always linked)."""
     def run(batches):
@@ -87,11 +90,14 @@ def _join_groups(members: DataFrame, k: int, threshold: float) -> DataFrame:
             v = _unit([g["vec"][i] for i in first])
             s = v @ v.T
             np.fill_diagonal(s, -2)
-            top = np.argpartition(-s, min(k, len(ids) - 1) - 1, axis=1)[:, :k]
-            top = top[:, :len(ids) - 1]
-            rows = np.repeat(np.arange(len(ids)), top.shape[1])
+            size = np.minimum(np.array([g["k"][i] for i in first]), len(ids) - 1)
+            most = int(size.max())
+            top = np.argpartition(-s, most - 1, axis=1)[:, :most]
+            if size.min() < most:  # nearest first, so that each list ends at its own size
+                top = np.take_along_axis(top, np.argsort(-np.take_along_axis(s, top, 1), axis=1), 1)
+            rows = np.repeat(np.arange(len(ids)), most)
             cols = top.ravel()
-            real = s[rows, cols] > -1.5
+            real = (s[rows, cols] > -1.5) & (np.tile(np.arange(most), len(ids)) < size[rows])
             rows, cols = rows[real], cols[real]
             a, b, sim = ids[rows].tolist(), ids[cols].tolist(), s[rows, cols].tolist()
             near = s >= threshold
@@ -114,11 +120,11 @@ def _parted(members: DataFrame, key: list[str]) -> DataFrame:
     same = [F.col(c) == F.col(f"_{c}") for c in key]
     part = F.pmod(F.xxhash64("nid", *key), F.coalesce("parts", F.lit(1)))
     return members.join(large, same, "left").select(
-        F.concat_ws("|", *key, part).alias("grp"), "nid", "vec")
+        F.concat_ws("|", *key, part).alias("grp"), "nid", "vec", "k")
 
 
 def _leaves(nodes: DataFrame, trees: int, seed: int) -> DataFrame:
-    """(label, dim, tree, code, nid, vec): each node's leaf in every tree."""
+    """(label, dim, tree, code, nid, vec, k): each node's leaf in every tree."""
     def run(batches):
         planes = {}
         for b in batches:
@@ -135,23 +141,42 @@ def _leaves(nodes: DataFrame, trees: int, seed: int) -> DataFrame:
                     code = side @ (1 << np.arange(32, dtype=np.int64))
                     yield {"label": [b["label"][i] for i in at], "dim": [d] * len(at),
                            "tree": [t] * len(at), "code": code.tolist(),
-                           "nid": [b["nid"][i] for i in at], "vec": [b["vec"][i] for i in at]}
+                           "nid": [b["nid"][i] for i in at], "vec": [b["vec"][i] for i in at],
+                           "k": [b["k"][i] for i in at]}
 
-    return arrow_map(nodes.select("label", "dim", "bits", "nid", "vec"), run,
-                     "label string, dim int, tree int, code long, nid long, vec array<double>")
+    return arrow_map(nodes.select("label", "dim", "bits", "nid", "vec", "k"), run,
+                     "label string, dim int, tree int, code long, nid long, vec array<double>, k int")
 
 
-def _best(edges: DataFrame, k: int) -> DataFrame:
-    """Each node's ``k`` nearest among ``edges``, seen from both ends."""
+def _sized(nodes: DataFrame, sizes: DataFrame | None, k: int) -> DataFrame:
+    """``nodes`` with the size of their lists: ``k``, or what a saturated one was enlarged to."""
+    if sizes is None:
+        return nodes.withColumn("k", F.lit(k))
+    return nodes.join(sizes, nodes["nid"] == sizes["_of"], "left").withColumn(
+        "k", F.coalesce("_size", F.lit(k))).drop("_of", "_size")
+
+
+def _saturated(graph: DataFrame, sizes: DataFrame | None, k: int, threshold: float) -> DataFrame:
+    """(_of, _size): the lists larger than ``k``, those that are full of links now doubled."""
+    full = graph.groupBy(F.col("a").alias("nid")).agg(F.count("*").alias("n"), F.min("sim").alias("least"))
+    full = _sized(full, sizes, k)
+    more = F.when((F.col("n") >= F.col("k")) & (F.col("least") >= threshold),
+                  F.least(2 * F.col("k"), F.lit(LARGEST))).otherwise(F.col("k"))
+    return full.select(F.col("nid").alias("_of"), more.cast("int").alias("_size")).where(F.col("_size") > k)
+
+
+def _best(edges: DataFrame, k: int, sizes: DataFrame | None = None) -> DataFrame:
+    """Each node's nearest among ``edges``, seen from both ends, as many as its list holds."""
     both = edges.select("a", "b", "sim").unionByName(
         edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
     one = both.groupBy("a", "b").agg(F.max("sim").alias("sim"))
     rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("sim"), "b"))
-    return one.withColumn("r", rank).where(F.col("r") <= k).drop("r")
+    one = one.withColumn("r", rank).where(F.col("r") <= LARGEST)
+    return _sized(one.withColumnRenamed("a", "nid"), sizes, k).where(F.col("r") <= F.col("k")).select(
+        F.col("nid").alias("a"), "b", "sim")
 
 
-def _refined(nodes: DataFrame, graph: DataFrame, fresh: DataFrame, k: int,
-             threshold: float) -> DataFrame:
+def _refined(nodes: DataFrame, graph: DataFrame, fresh: DataFrame, threshold: float) -> DataFrame:
     """Candidates from joining, at every node with a fresh list entry, its
     neighbours in both directions and itself."""
     both = graph.select("a", "b").unionByName(graph.select(
@@ -159,9 +184,9 @@ def _refined(nodes: DataFrame, graph: DataFrame, fresh: DataFrame, k: int,
     hubs = fresh.select(F.explode(F.array("a", "b")).alias("hub")).distinct()
     pairs = both.join(hubs, F.col("a") == F.col("hub"), "left_semi").select(
         F.col("a").alias("hub"), F.col("b").alias("nid"))
-    members = pairs.join(nodes.select("nid", "vec"), "nid").select(
-        F.col("hub").cast("string").alias("hub"), "nid", "vec")
-    return _join_groups(_parted(members, ["hub"]), k, threshold)
+    members = pairs.join(nodes.select("nid", "vec", "k"), "nid").select(
+        F.col("hub").cast("string").alias("hub"), "nid", "vec", "k")
+    return _join_groups(_parted(members, ["hub"]), threshold)
 
 
 def _changed(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -169,11 +194,21 @@ def _changed(old: DataFrame, new: DataFrame) -> DataFrame:
                     (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
 
 
+def _by_root(rows: DataFrame, components: DataFrame) -> DataFrame:
+    """``rows`` (root, ...) joined with ``components`` (root, size, ...). All nodes of a large
+    component share its root: components of over 1/``HOT_SHARE`` of the rows, which are
+    ``HOT_SHARE`` at most, are broadcast; the others are joined by a shuffle."""
+    large = F.col("size") > max(100, rows.count() // HOT_SHARE)
+    hot = F.broadcast(components.where(large))
+    rest = rows.join(F.broadcast(components.where(large).select("root")), "root", "left_anti")
+    return rows.join(hot, "root").unionByName(rest.join(components.where(~large), "root"))
+
+
 def _component_counts(nodes: DataFrame, roots: DataFrame, dense: DataFrame,
                       threshold: float) -> DataFrame:
     """(nid, links): links of the nodes of ``dense`` components, each compared
     with its whole component, block by block; copies count each."""
-    inside = roots.join(dense, "root").join(nodes, roots["node"] == nodes["nid"]).select(
+    inside = _by_root(roots, dense).join(nodes, F.col("node") == F.col("nid")).select(
         "root", "nid", "copies", "vec", "size")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("nid"), blocks).cast("int")
@@ -339,10 +374,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, tre
     nodes = materialize(nodes.join(sizes, (F.col("label") == F.col("_label")) & (
         F.col("dim") == F.col("_dim"))).drop("_label", "_dim"), "nodes")
 
-    graph = links = joined = counted = None
+    graph = links = joined = counted = sizes = None
     for turn in range(max_passes):
         found = materialize(_join_groups(_parted(
-            _leaves(nodes, trees, turn), ["label", "dim", "tree", "code"]), k, threshold), "found")
+            _leaves(_sized(nodes, sizes, k), trees, turn), ["label", "dim", "tree", "code"]),
+            threshold), "found")
         for step in range(rounds + 1):
             lists = found.where("sim is not null")
             news = [x for x in (links, lists.where(F.col("sim") >= threshold)) if x is not None]
@@ -351,12 +387,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, tre
             near = found.where("sim is null").select("a", "b").distinct()
             joined = materialize(near if joined is None else joined.unionByName(near).distinct(),
                                  "joined")
-            nxt = materialize(_best(lists if graph is None else graph.unionByName(lists), k), "graph")
+            nxt = materialize(_best(lists if graph is None else graph.unionByName(lists), k, sizes), "graph")
             fresh = nxt if graph is None else materialize(_changed(graph, nxt), "fresh")
             graph, links = nxt, nxt_links
+            sizes = materialize(_saturated(graph, sizes, k, threshold), "sizes")
             if step == rounds or fresh.count() < 0.05 * graph.count():
                 break
-            nxt_found = materialize(_refined(nodes, graph, fresh, k, threshold), "found")
+            nxt_found = materialize(_refined(_sized(nodes, sizes, k), graph, fresh, threshold), "found")
             discard(found)
             found = nxt_found
         roots = materialize(connected_components(
@@ -374,8 +411,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, tre
         roots.withColumnRenamed("node", "nid"), "nid", "left").select(
         "nid", "low", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("root", "nid").alias("root"))
-    lows = linked.groupBy("root").agg(F.min("low").alias("component_id"))
-    result = materialize(linked.join(lows, "root").select(
+    linked = materialize(linked, "linked")
+    lows = linked.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("size"))
+    result = materialize(_by_root(linked, lows).select(
         F.col("nid").alias("r_nid"), "n_links", "component_id"), "result")
     out = rows.select("vec_id", "nid").join(result, F.col("nid") == F.col("r_nid"), "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
