@@ -7,7 +7,10 @@ that is full of links is saturated: there may be more, so it is enlarged to twic
 its size, up to ``LARGEST``. Two nodes are linked where their cosine, in double
 precision, is at least the threshold. A list holds only so many links and may miss
 some among nodes known to be connected, so every component of three or more nodes
-is compared whole, in blocks. An audit compares samples of
+is counted whole: a small one in one block, a larger one by cells around some of
+its nodes, where angles to a cell's centre tell which cells hold links only and
+which hold none, and only the cells between are compared. Large leaves are cut by
+planes between two of their members. An audit compares samples of
 nodes, inside and outside those components, with all others; while too many of
 them lack a link, new trees and refinements are added. If the passes run out,
 all nodes of a label are compared, block by block.
@@ -16,6 +19,7 @@ all nodes of a label are compared, block by block.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,8 +27,13 @@ from cardgrain.llm.common import arrow_map, discard, materialize
 from cardgrain.llm.graph import connected_components
 
 LEAF = 64  # nodes a leaf has on average
-GROUP = 256  # larger groups are cut into parts of about this size
-BLOCK = 512
+GROUP = 256  # larger groups are cut into smaller ones
+PLANES = 4  # planes that a large group is cut by at a time
+SPLITS = 6  # times that planes cut; what is still large is cut by hash
+BLOCK = 512  # nodes of a component compared in one block
+CHUNK = 4096  # nodes of a larger component that meet its centres in one task
+CENTRES = 1024  # most cells of a component
+SLACK = 1e-6  # radians by which angles must be clear of the threshold
 AUDIT = 2048  # nodes of an audit sample
 EVIDENCE = 400  # audited nodes with a link that a verdict needs
 PER_COMPONENT = 32  # nodes that the audit takes of a component compared whole
@@ -45,26 +54,45 @@ def _sound(embedding):
     return embedding.isNotNull() & ~bad & F.exists(embedding, lambda x: x != 0)
 
 
+def _rows(column: pa.Array):
+    """A column as a function from a range of rows to a numpy array (vectors of one
+    length: a matrix)."""
+    if not pa.types.is_list(column.type):
+        plain = column.to_numpy(zero_copy_only=False)
+        return lambda start, end: plain[start:end]
+    flat, at = column.flatten().to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    at = at - at[0]
+    return lambda start, end: flat[at[start]:at[end]].reshape(end - start, -1)
+
+
 def _runs(batches, key: str):
-    """Rows of each run of equal keys (lists of the other columns), across batches."""
-    now, held = None, None
+    """(key, other columns as arrays) of each run of equal keys, across record batches."""
+    now, parts = None, []
+
+    def whole():
+        return {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+
     for b in batches:
-        keys = b[key]
-        others = [c for c in b if c != key]
-        start = 0
-        for i in range(1, len(keys) + 1):
-            if i < len(keys) and keys[i] == keys[start]:
-                continue
-            if held is not None and keys[start] == now:
-                for c in others:
-                    held[c] += b[c][start:i]
-            else:
-                if held is not None:
-                    yield now, held
-                now, held = keys[start], {c: b[c][start:i] for c in others}
-            start = i
-    if held is not None:
-        yield now, held
+        if not b.num_rows:
+            continue
+        keys = b.column(key).dictionary_encode()
+        codes = keys.indices.to_numpy()
+        columns = {c: _rows(b.column(c)) for c in b.schema.names if c != key}
+        cuts = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), b.num_rows]
+        for start, end in zip(cuts, cuts[1:]):
+            value = keys.dictionary[int(codes[start])].as_py()
+            if parts and value != now:
+                yield now, whole()
+                parts = []
+            now = value
+            parts.append({c: rows(start, end) for c, rows in columns.items()})
+    if parts:
+        yield now, whole()
+
+
+def _grouped(rows: DataFrame, run, schema: str) -> DataFrame:
+    """``run`` over record batches in which the rows of a ``grp`` follow each other."""
+    return arrow_map(rows.repartition("grp").sortWithinPartitions("grp"), run, schema, plain=False)
 
 
 def _roots(adjacent: np.ndarray) -> np.ndarray:
@@ -84,13 +112,13 @@ def _join_groups(members: DataFrame, threshold: float) -> DataFrame:
     (sim null: they are connected, not always linked)."""
     def run(batches):
         for _, g in _runs(batches, "grp"):
-            ids, first = np.unique(np.array(g["nid"], np.int64), return_index=True)
+            ids, first = np.unique(g["nid"], return_index=True)
             if len(ids) < 2:
                 continue
-            v = _unit([g["vec"][i] for i in first])
+            v = _unit(g["vec"][first])
             s = v @ v.T
             np.fill_diagonal(s, -2)
-            size = np.minimum(np.array([g["k"][i] for i in first]), len(ids) - 1)
+            size = np.minimum(g["k"][first], len(ids) - 1)
             most = int(size.max())
             top = np.argpartition(-s, most - 1, axis=1)[:, :most]
             if size.min() < most:  # nearest first, so that each list ends at its own size
@@ -99,28 +127,61 @@ def _join_groups(members: DataFrame, threshold: float) -> DataFrame:
             cols = top.ravel()
             real = (s[rows, cols] > -1.5) & (np.tile(np.arange(most), len(ids)) < size[rows])
             rows, cols = rows[real], cols[real]
-            a, b, sim = ids[rows].tolist(), ids[cols].tolist(), s[rows, cols].tolist()
+            yield {"a": ids[rows], "b": ids[cols], "sim": s[rows, cols]}
             near = s >= threshold
             if near.any():
                 root = _roots(near)
                 off = np.flatnonzero(root != np.arange(len(ids)))
-                a += ids[off].tolist()
-                b += ids[root[off]].tolist()
-                sim += [None] * len(off)
-            yield {"a": a, "b": b, "sim": sim}
+                yield {"a": ids[off], "b": ids[root[off]], "sim": [None] * len(off)}
+
+    return _grouped(members, run, "a long, b long, sim double")
+
+
+def _large(rows: DataFrame) -> DataFrame:
+    """(_grp, n): groups of over ``GROUP`` members."""
+    return materialize(rows.groupBy(F.col("grp").alias("_grp")).agg(F.count("*").alias("n"))
+                       .where(F.col("n") > GROUP), "large")
+
+
+def _dot(a, b):
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda t, x: t + x)
 
-    return arrow_map(members.repartition("grp").sortWithinPartitions("grp"), run,
-                     "a long, b long, sim double")
+
+def _cut(rows: DataFrame, turn: int) -> DataFrame:
+    """``rows`` (grp, n, nid, vec, k) with groups cut by ``PLANES`` planes, each halfway
+    between two members of the group that a hash picks: members near each other stay
+    on the same side of most."""
+    drawn = rows.where(F.pmod(F.xxhash64("nid", "grp", F.lit(turn)), F.ceil(F.col("n") / 64)) == 0)
+    ends = drawn.groupBy(F.col("grp").alias("_grp")).agg(F.transform(
+        F.array_sort(F.collect_list(F.struct(F.xxhash64("grp", "nid").alias("h"), "vec"))),
+        lambda x: F.transform(x["vec"], lambda y: y / F.sqrt(_dot(x["vec"], x["vec"])))).alias("ends"))
+    planes = ends.select("_grp", *[F.zip_with(
+        F.get("ends", F.lit(2 * i)), F.get("ends", F.lit(2 * i + 1)), lambda x, y: x - y).alias(f"p{i}")
+        for i in range(PLANES)])
+    sides = [F.when(_dot(F.col("vec"), F.col(f"p{i}")) > 0, "1").otherwise("0") for i in range(PLANES)]
+    return rows.join(planes, F.col("grp") == F.col("_grp"), "left").select(
+        F.concat(F.col("grp"), F.lit("|"), *sides).alias("grp"), "nid", "vec", "k")
 
 
 def _parted(members: DataFrame, key: list[str]) -> DataFrame:
-    """``members`` with ``grp``: the key, and for large groups a part of it by hash."""
-    large = members.groupBy(*key).count().where(F.col("count") > GROUP).select(
-        *[F.col(c).alias(f"_{c}") for c in key], F.ceil(F.col("count") / GROUP).alias("parts"))
-    same = [F.col(c) == F.col(f"_{c}") for c in key]
-    part = F.pmod(F.xxhash64("nid", *key), F.coalesce("parts", F.lit(1)))
-    return members.join(large, same, "left").select(
-        F.concat_ws("|", *key, part).alias("grp"), "nid", "vec", "k")
+    """``members`` with ``grp``: the key, and for large groups the side of planes between
+    their members, again and again until few are large; those are cut by a hash."""
+    rows = members.select(F.concat_ws("|", *key).alias("grp"), "nid", "vec", "k")
+    large = _large(rows)
+    done = None
+    for turn in range(SPLITS + 1):
+        if large.isEmpty():
+            break
+        small = rows.join(large, F.col("grp") == F.col("_grp"), "left_anti")
+        done = small if done is None else done.unionByName(small)
+        rows = rows.join(large, F.col("grp") == F.col("_grp")).drop("_grp")
+        if turn == SPLITS:
+            part = F.pmod(F.xxhash64("nid", "grp"), F.ceil(F.col("n") / GROUP))
+            rows = rows.select(F.concat_ws("|", "grp", part).alias("grp"), "nid", "vec", "k")
+            break
+        rows = materialize(_cut(materialize(rows, "oversized"), turn), "cut")
+        large = _large(rows)
+    return rows if done is None else done.unionByName(rows)
 
 
 def _leaves(nodes: DataFrame, trees: int, seed: int) -> DataFrame:
@@ -128,24 +189,24 @@ def _leaves(nodes: DataFrame, trees: int, seed: int) -> DataFrame:
     def run(batches):
         planes = {}
         for b in batches:
-            dims = np.array(b["dim"])
+            dims, bits, vectors = b["dim"].to_numpy(), b["bits"].to_numpy(), _rows(b["vec"])
+            codes = np.zeros((b.num_rows, trees), np.int64)
             for d in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == d)
-                v = _unit([b["vec"][i] for i in at])
-                bits = np.array(b["bits"])[at]
+                v = _unit(np.concatenate([vectors(i, i + 1) for i in at]) if len(at) < len(dims)
+                          else vectors(0, len(dims)))
                 for t in range(trees):
                     if (d, t) not in planes:
                         planes[d, t] = np.random.default_rng([seed, d, t]).normal(size=(d, 32))
                     side = (v @ planes[d, t]) > 0
-                    side &= np.arange(32)[None, :] < bits[:, None]
-                    code = side @ (1 << np.arange(32, dtype=np.int64))
-                    yield {"label": [b["label"][i] for i in at], "dim": [d] * len(at),
-                           "tree": [t] * len(at), "code": code.tolist(),
-                           "nid": [b["nid"][i] for i in at], "vec": [b["vec"][i] for i in at],
-                           "k": [b["k"][i] for i in at]}
+                    side &= np.arange(32)[None, :] < bits[at][:, None]
+                    codes[at, t] = side @ (1 << np.arange(32, dtype=np.int64))
+            yield {**{c: b[c] for c in b.schema.names if c != "bits"}, "codes": codes.tolist()}
 
-    return arrow_map(nodes.select("label", "dim", "bits", "nid", "vec", "k"), run,
-                     "label string, dim int, tree int, code long, nid long, vec array<double>, k int")
+    kind = nodes.schema["vec"].dataType.simpleString()
+    coded = arrow_map(nodes.select("label", "dim", "bits", "nid", "vec", "k"), run,
+                      f"label string, dim int, nid long, vec {kind}, k int, codes array<long>", plain=False)
+    return coded.select("label", "dim", F.posexplode("codes").alias("tree", "code"), "nid", "vec", "k")
 
 
 def _sized(nodes: DataFrame, sizes: DataFrame | None, k: int) -> DataFrame:
@@ -206,34 +267,117 @@ def _by_root(rows: DataFrame, components: DataFrame) -> DataFrame:
 
 def _component_counts(nodes: DataFrame, roots: DataFrame, dense: DataFrame,
                       threshold: float) -> DataFrame:
-    """(nid, links): links of the nodes of ``dense`` components, each compared
-    with its whole component, block by block; copies count each."""
-    inside = _by_root(roots, dense).join(nodes, F.col("node") == F.col("nid")).select(
-        "root", "nid", "copies", "vec", "size")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("nid"), blocks).cast("int")
-    rows = inside.withColumn("blocks", blocks).withColumn("block", block)
-    # a block meets every block: as the side counted for, and as the other side
-    pair = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    mine = rows.select("root", "nid", "copies", "vec", "block", pair.alias("other")).select(
-        F.concat_ws("|", "root", "block", "other").alias("grp"), "nid", "copies", "vec",
-        F.lit(0).alias("side"))
-    theirs = rows.select("root", "nid", "copies", "vec", "block", pair.alias("other")).select(
-        F.concat_ws("|", "root", "other", "block").alias("grp"), "nid", "copies", "vec",
-        F.lit(1).alias("side"))
+    """(nid, links): links of the nodes of ``dense`` components, each counted in its
+    whole component; copies count each."""
+    def members(part):
+        return _by_root(roots, part).join(nodes, F.col("node") == F.col("nid")).select(
+            "root", "nid", "copies", "vec", "size")
 
     def run(batches):
         for _, g in _runs(batches, "grp"):
-            side = np.array(g["side"])
-            v, ids = _unit(g["vec"]), np.array(g["nid"], np.int64)
-            weight = np.array(g["copies"], np.float64)
-            m, o = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            v = _unit(g["vec"])
+            near = v @ v.T >= threshold
+            np.fill_diagonal(near, False)
+            yield {"nid": g["nid"], "links": near @ g["copies"]}
+
+    small = _grouped(members(dense.where(F.col("size") <= BLOCK)).select(
+        F.col("root").cast("string").alias("grp"), "nid", "copies", "vec"), run, "nid long, links long")
+    wide = dense.where(F.col("size") > BLOCK)
+    if wide.isEmpty():
+        return small
+    return small.unionByName(_cell_counts(materialize(members(wide), "members"), threshold))
+
+
+def _in_chunks(members: DataFrame, centres: DataFrame) -> DataFrame:
+    """Each chunk of a component's members (cell, of a centre: its own) with all its centres."""
+    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
+    mine = members.withColumn("chunk", F.pmod(F.xxhash64("nid", F.lit(1)), chunks).cast("int"))
+    theirs = centres.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    columns = ["root", "size", "nid", "copies", "vec", "cell", "radius", "weight"]
+    return mine.select(F.concat_ws("|", "root", "chunk").alias("grp"), *columns, F.lit(0).alias("centre")) \
+        .unionByName(theirs.select(F.concat_ws("|", "root", "chunk").alias("grp"), *columns,
+                                   F.lit(1).alias("centre")))
+
+
+def _cell_counts(members: DataFrame, threshold: float) -> DataFrame:
+    """(nid, links) of the members (root, nid, copies, vec, size) of large components.
+
+    Some members, about the root of the size, are centres; every member belongs to
+    the cell of its nearest. A node's angle to a centre, with the cell's radius, shows
+    by the triangle inequality that it is linked with the whole cell or with
+    none of it; only other nodes are compared with the cell's members."""
+    reach = float(np.arccos(threshold))
+    bare = members.withColumn("cell", F.col("nid")).withColumn("radius", F.lit(0.0)).withColumn(
+        "weight", F.lit(0).cast("long"))
+    step = F.ceil(F.col("size") / F.least(F.lit(CENTRES), F.ceil(F.sqrt("size"))))
+    centres = bare.where((F.col("nid") == F.col("root")) | (F.pmod(F.xxhash64("nid", F.lit(2)), step) == 0))
+    kind = members.schema["vec"].dataType.simpleString()
+
+    def angles(g):
+        c, m = np.flatnonzero(g["centre"] == 1), np.flatnonzero(g["centre"] == 0)
+        return m, c, np.arccos(np.clip(_unit(g["vec"][m]) @ _unit(g["vec"][c]).T, -1, 1))
+
+    def assign(batches):
+        for _, g in _runs(batches, "grp"):
+            m, c, far = angles(g)
+            best = far.argmin(1)
+            yield {"root": g["root"][m], "size": g["size"][m], "nid": g["nid"][m],
+                   "copies": g["copies"][m], "vec": list(g["vec"][m]), "cell": g["nid"][c[best]],
+                   "radius": far[np.arange(len(m)), best]}
+
+    assigned = materialize(_grouped(_in_chunks(bare, centres), assign,
+                                    f"root long, size long, nid long, copies long, vec {kind}, "
+                                    "cell long, radius double"), "cells")
+    cells = materialize(assigned.groupBy(F.col("cell").alias("_cell")).agg(
+        F.max("radius").alias("radius"), F.sum("copies").alias("weight"), F.count("*").alias("n")), "radii")
+    used = centres.drop("radius", "weight").join(cells.drop("n"), F.col("cell") == F.col("_cell")).drop("_cell")
+
+    def decide(batches):
+        for _, g in _runs(batches, "grp"):
+            m, c, far = angles(g)
+            radius, weight = g["radius"][c][None, :], g["weight"][c]
+            every = far + radius < reach - SLACK
+            some = ~every & (far - radius <= reach + SLACK)
+            own = every & (g["cell"][m][:, None] == g["nid"][c][None, :])
+            yield {"nid": g["nid"][m], "links": every @ weight - own.any(1) * g["copies"][m],
+                   "cell": [None] * len(m)}
+            at, to = np.nonzero(some)
+            yield {"nid": g["nid"][m[at]], "links": np.zeros(len(at), np.int64), "cell": g["nid"][c[to]]}
+
+    decided = materialize(_grouped(_in_chunks(assigned.withColumn("weight", F.lit(0).cast("long")), used),
+                                   decide, "nid long, links long, cell long"), "decided")
+    sure = decided.where("cell is null").select("nid", "links")
+    visits = decided.where("cell is not null").select("nid", F.col("cell").alias("to"))
+    shape = visits.groupBy(F.col("to").alias("_to")).agg(F.count("*").alias("visitors")).join(
+        cells, F.col("_to") == F.col("_cell")).select(
+        "_to", F.ceil(F.col("visitors") / EXACT).cast("int").alias("vb"),
+        F.ceil(F.col("n") / EXACT).cast("int").alias("mb"))
+    shape = materialize(shape, "shape")
+
+    def block(count):
+        return F.pmod(F.xxhash64("nid", F.lit(3)), F.col(count)).cast("int")
+
+    def meeting(other):
+        return F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+
+    mine = visits.join(shape, F.col("to") == F.col("_to")).select("to", "nid", block("vb").alias("v"), meeting("mb").alias("m")) \
+        .join(assigned.select(F.col("nid").alias("_nid"), "copies", "vec"), F.col("nid") == F.col("_nid")).drop("_nid") \
+        .withColumn("side", F.lit(0))
+    theirs = assigned.join(shape, F.col("cell") == F.col("_to")).select(
+        F.col("cell").alias("to"), "nid", meeting("vb").alias("v"), block("mb").alias("m"), "copies", "vec",
+        F.lit(1).alias("side"))
+
+    def compare(batches):
+        for _, g in _runs(batches, "grp"):
+            v, ids = _unit(g["vec"]), g["nid"]
+            m, o = np.flatnonzero(g["side"] == 0), np.flatnonzero(g["side"] == 1)
             linked = (v[m] @ v[o].T >= threshold) & (ids[m][:, None] != ids[o][None, :])
-            yield {"nid": ids[m].tolist(), "links": (linked @ weight[o]).astype(np.int64).tolist()}
+            yield {"nid": ids[m], "links": linked @ g["copies"][o]}
 
-    counted = arrow_map(mine.unionByName(theirs).repartition("grp").sortWithinPartitions("grp"),
-                        run, "nid long, links long")
-    return counted.groupBy("nid").agg(F.sum("links").alias("links"))
+    compared = _grouped(mine.unionByName(theirs).select(
+        F.concat_ws("|", "to", "v", "m").alias("grp"), "nid", "copies", "vec", "side"),
+        compare, "nid long, links long")
+    return sure.unionByName(compared).groupBy("nid").agg(F.sum("links").alias("links"))
 
 
 def _audit(nodes: DataFrame, sample: DataFrame, threshold: float) -> DataFrame:
@@ -247,19 +391,20 @@ def _audit(nodes: DataFrame, sample: DataFrame, threshold: float) -> DataFrame:
     def run(batches):
         total: dict[int, int] = {}
         for b in batches:
-            keys = list(zip(b["label"], b["dim"]))
+            keys = list(zip(b["label"].to_pylist(), b["dim"].to_pylist()))
+            vectors, nid, copies = _rows(b["vec"]), b["nid"].to_numpy(), b["copies"].to_numpy()
             for key in set(keys) & set(by):
                 at = [i for i, x in enumerate(keys) if x == key]
                 ids, v = by[key]
-                near = (v @ _unit([b["vec"][i] for i in at]).T) >= threshold
-                near &= np.array(ids)[:, None] != np.array([b["nid"][i] for i in at])[None, :]
-                counts = near @ np.array([b["copies"][i] for i in at])
+                near = (v @ _unit(np.concatenate([vectors(i, i + 1) for i in at])).T) >= threshold
+                near &= np.array(ids)[:, None] != nid[at][None, :]
+                counts = near @ copies[at]
                 for q, n in zip(ids, counts.tolist()):
                     total[q] = total.get(q, 0) + n
         yield {"nid": list(total), "truth": list(total.values())}
 
     return arrow_map(nodes.select("label", "dim", "nid", "copies", "vec"), run,
-                     "nid long, truth long").groupBy("nid").agg(F.sum("truth").alias("truth"))
+                     "nid long, truth long", plain=False).groupBy("nid").agg(F.sum("truth").alias("truth"))
 
 
 def _recalled(nodes: DataFrame, counted: DataFrame, roots: DataFrame, dense: DataFrame,
@@ -307,9 +452,7 @@ def _all_pairs(nodes: DataFrame, threshold: float) -> DataFrame:
 
     def run(batches):
         for _, g in _runs(batches, "grp"):
-            side = np.array(g["side"])
-            v, ids = _unit(g["vec"]), np.array(g["nid"], np.int64)
-            weight = np.array(g["copies"], np.float64)
+            side, v, ids, weight = g["side"], _unit(g["vec"]), g["nid"], g["copies"]
             m, o = np.flatnonzero(side < 2), np.flatnonzero(side != 1)
             linked = (v[m] @ v[o].T >= threshold) & (ids[m][:, None] != ids[o][None, :])
             rows, cols = linked.any(1), linked.any(0)
@@ -317,14 +460,11 @@ def _all_pairs(nodes: DataFrame, threshold: float) -> DataFrame:
             if not len(m):
                 continue
             mine, theirs = _bipartite_roots(linked)
-            yield {"nid": ids[m].tolist(), "other": ids[m[mine]].tolist(),
-                   "links": (linked @ weight[o]).astype(np.int64).tolist()}
-            both = weight[m] @ linked if side.any() else np.zeros(len(o))
-            yield {"nid": ids[o].tolist(), "other": ids[m[theirs]].tolist(),
-                   "links": both.astype(np.int64).tolist()}
+            yield {"nid": ids[m], "other": ids[m[mine]], "links": linked @ weight[o]}
+            both = weight[m] @ linked if side.any() else np.zeros(len(o), np.int64)
+            yield {"nid": ids[o], "other": ids[m[theirs]], "links": both}
 
-    return arrow_map(members.repartition("grp").sortWithinPartitions("grp"), run,
-                     "nid long, other long, links long")
+    return _grouped(members, run, "nid long, other long, links long")
 
 
 def _bipartite_roots(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -355,8 +495,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 8, tre
     ``target`` of the nodes that have any; after ``max_passes`` without that,
     all nodes are compared.
     """
+    # single-precision components travel as they are; every task compares in double precision
+    kind = "array<float>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
-                          F.col("embedding").cast("array<double>").alias("vec"),
+                          F.col("embedding").cast(kind).alias("vec"),
                           F.col("label").cast("string").alias("label"))
     usable = _sound(F.col("vec")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     rows = materialize(rows.select(
