@@ -13,7 +13,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardgrain.operators.ranks import count_positions, exact_quantiles
@@ -271,51 +271,58 @@ def rmse(df: DataFrame, label: str, prediction: str) -> DataFrame:
 # Local regression smoother on a month-grain series
 # ---------------------------------------------------------------------------
 
-def loess_fit(x: np.ndarray, y: np.ndarray, at: np.ndarray, span: float = 0.75,
-              degree: int = 2) -> np.ndarray:
-    """Local polynomial regression evaluated exactly at ``at``: for each
-    point, the ``span`` share of nearest observations, tricube weights,
-    weighted least squares of the given degree (no interpolation surface)."""
-    n = len(x)
-    q = max(int(np.floor(n * span)), degree + 1)
-    q = min(q, n)
-    out = np.empty(len(at))
-    for i, x0 in enumerate(at):
-        dist = np.abs(x - x0)
-        h = np.sort(dist)[q - 1]
-        if span > 1:  # all points used; the bandwidth grows with the span
-            h *= span
-        h = h if h > 0 else 1.0
-        u = np.clip(dist / h, 0, 1)
-        w = (1 - u ** 3) ** 3
-        X = np.vander(x - x0, degree + 1, increasing=True)
-        sw = np.sqrt(w)
-        coef, *_ = np.linalg.lstsq(X * sw[:, None], y * sw, rcond=None)
-        out[i] = coef[0]
-    return out
+DETERMINED = 1e-9  # a fit's determinant, as a share of its diagonal's product, must be over this
 
 
 def smooth_series(long: DataFrame, x: str = "first_active_month", y: str = "value",
                   series: str = "feature", points: int = 80, span: float = 0.75) -> DataFrame:
-    """Smoothed curve per series on ``points`` equally spaced x values over
-    the series' date range (the trend line of a scatter of monthly values).
+    """Local quadratic regression of each series on ``points`` equally spaced dates.
 
-    The input is at month grain, so each series has one row per calendar
-    month: a bounded group for one pandas call.
+    At each point the ``span`` share of the nearest observations (three at least) sets the
+    bandwidth; tricube weights, weighted least squares by its normal equations, whose sums
+    are one aggregate per (series, point). Rows come at month grain, so such a group has one
+    row per calendar month and the table ``points`` times as many rows as it had.
+
+    Rows without a date or value are left out. Where the weights leave too few dates for a
+    quadratic the fit is a line, then the weighted mean; where none has weight (all at the
+    bandwidth's distance), the mean of those; with one or two observations, their mean.
     """
+    day = F.datediff(F.col(x), F.lit("1970-01-01").cast("date")).cast("double")
     base = long.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
-        series, F.datediff(F.col(x), F.lit("1970-01-01").cast("date")).alias("_d"),
-        F.col(y).cast("double").alias("_y"))
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        xs = pdf["_d"].to_numpy(dtype=float)
-        ys = pdf["_y"].to_numpy(dtype=float)
-        grid = np.linspace(xs.min(), xs.max(), points)
-        fitted = loess_fit(xs, ys, grid, span) if len(xs) > 2 else np.full(points, ys.mean())
-        return pd.DataFrame({series: pdf[series].iloc[0], "point": np.arange(points, dtype=np.int32),
-                             "x_days": grid, "fit": fitted})
-
-    schema = f"{series} string, point int, x_days double, fit double"
-    out = base.groupBy(series).applyInPandas(fit, schema)
-    return out.withColumn(x, F.date_add(F.lit("1970-01-01").cast("date"),
-                                        F.floor("x_days").cast("int")))
+        F.col(series).alias("_s"), day.alias("_d"), F.col(y).cast("double").alias("_y"))
+    ranges = base.groupBy(F.col("_s").alias("_r")).agg(
+        F.min("_d").alias("_lo"), F.max("_d").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    at = (base.join(ranges, F.col("_s").eqNullSafe(F.col("_r")))
+          .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+          .withColumn("x_days", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("point")
+                      / F.lit(float(max(points - 1, 1))))
+          .withColumn("_dist", F.abs(F.col("_d") - F.col("x_days"))))
+    q = F.least(F.col("_n"), F.greatest(F.lit(3), F.floor(F.col("_n") * F.lit(float(span)))))
+    group = Window.partitionBy("_s", "point")
+    near = at.withColumn("_i", F.row_number().over(group.orderBy("_dist")))
+    near = near.withColumn("_h", F.max(F.when(F.col("_i") == q, F.col("_dist"))).over(group))
+    if span > 1:  # all observations are used; the bandwidth grows with the span
+        near = near.withColumn("_h", F.col("_h") * F.lit(float(span)))
+    h = F.when(F.col("_h") > 0, F.col("_h")).otherwise(F.lit(1.0))
+    u = (F.col("_d") - F.col("x_days")) / h
+    reach = F.least(F.col("_dist") / h, F.lit(1.0))
+    rest = F.lit(1.0) - reach * reach * reach
+    near = near.withColumns({"_u": u, "_w": rest * rest * rest})
+    w, u, v = F.col("_w"), F.col("_u"), F.col("_y")
+    sums = near.groupBy("_s", "point", "x_days", "_n").agg(
+        F.sum(w).alias("_s0"), F.sum(w * u).alias("_s1"), F.sum(w * u * u).alias("_s2"),
+        F.sum(w * u * u * u).alias("_s3"), F.sum(w * u * u * u * u).alias("_s4"),
+        F.sum(w * v).alias("_t0"), F.sum(w * u * v).alias("_t1"),
+        F.sum(w * u * u * v).alias("_t2"), F.avg(v).alias("_mean"),
+        F.avg(F.when(F.col("_dist") <= h, v)).alias("_edge"))
+    s0, s1, s2, s3, s4, t0, t1, t2 = (F.col(f"_{c}") for c in
+                                      ("s0", "s1", "s2", "s3", "s4", "t0", "t1", "t2"))
+    c0, c1, c2 = s2 * s4 - s3 * s3, s1 * s4 - s2 * s3, s1 * s3 - s2 * s2
+    square, line = s0 * c0 - s1 * c1 + s2 * c2, s0 * s2 - s1 * s1
+    fit = (F.when(F.col("_n") < 3, F.col("_mean"))
+           .when(square > DETERMINED * s0 * s2 * s4, (t0 * c0 - t1 * c1 + t2 * c2) / square)
+           .when(line > DETERMINED * s0 * s2, (t0 * s2 - t1 * s1) / line)
+           .when(s0 > 0, t0 / s0).otherwise(F.col("_edge")))
+    return sums.select(
+        F.col("_s").alias(series), "point", "x_days", fit.alias("fit"),
+        F.date_add(F.lit("1970-01-01").cast("date"), F.floor("x_days").cast("int")).alias(x))

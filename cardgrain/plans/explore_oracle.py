@@ -134,6 +134,39 @@ SELECT first_active_month, feature, {r4('value')} AS value,
 FROM (SELECT first_active_month, 'target_sum' AS feature, target_sum AS value FROM m
       UNION ALL SELECT first_active_month, 'target_mean', target_mean FROM m) l""",
         [("m", monthly)])
+    w, square, line = "w * u", "(s0 * c0 - s1 * c1 + s2 * c2)", "(s0 * s2 - s1 * s1)"
+    SQL["target_smooth"] = with_roles(["train"], f"""
+SELECT feature, point, {r4('x_days')} AS x_days, {r4('fit')} AS fit,
+ CAST(DATE '1970-01-01' + CAST(floor(x_days) AS INTEGER) AS DATE) AS first_active_month
+FROM (SELECT feature, point, x_days,
+       CASE WHEN n < 3 THEN mean
+            WHEN {square} > 1e-9 * s0 * s2 * s4 THEN (t0 * c0 - t1 * c1 + t2 * c2) / {square}
+            WHEN {line} > 1e-9 * s0 * s2 THEN (t0 * s2 - t1 * s1) / {line}
+            WHEN s0 > 0 THEN t0 / s0 ELSE edge END AS fit
+      FROM (SELECT *, s2 * s4 - s3 * s3 AS c0, s1 * s4 - s2 * s3 AS c1, s1 * s3 - s2 * s2 AS c2
+            FROM (SELECT feature, point, x_days, n, avg(y) AS mean,
+                   avg(CASE WHEN dist <= h THEN y END) AS edge, sum(w) AS s0, sum({w}) AS s1,
+                   sum({w} * u) AS s2, sum({w} * u * u) AS s3, sum({w} * u * u * u) AS s4,
+                   sum(w * y) AS t0, sum({w} * y) AS t1, sum({w} * u * y) AS t2
+                  FROM (SELECT *, (d - x_days) / h AS u, pow(1 - pow(least(dist / h, 1.0), 3), 3) AS w
+                        FROM (SELECT * REPLACE (CASE WHEN h > 0 THEN h ELSE 1.0 END AS h)
+                              FROM (SELECT *, max(CASE WHEN i = least(n, greatest(3, floor(n * 0.75)))
+                                                  THEN dist END) OVER (PARTITION BY feature, point) AS h
+                                    FROM near) a) b) c
+                  GROUP BY feature, point, x_days, n) s) k) f""",
+        [("m", monthly), ("long", """
+SELECT feature, CAST(first_active_month - DATE '1970-01-01' AS DOUBLE) AS d, value AS y
+FROM (SELECT first_active_month, 'target_sum' AS feature, target_sum AS value FROM m
+      UNION ALL SELECT first_active_month, 'target_mean', target_mean FROM m) l
+WHERE first_active_month IS NOT NULL AND value IS NOT NULL"""),
+         ("near", """
+SELECT *, row_number() OVER (PARTITION BY feature, point ORDER BY dist) AS i
+FROM (SELECT *, abs(d - x_days) AS dist
+      FROM (SELECT long.*, n, CAST(p.range AS INTEGER) AS point,
+                   lo + (hi - lo) * p.range / 79.0 AS x_days
+            FROM long JOIN (SELECT feature, min(d) AS lo, max(d) AS hi, count(*) AS n
+                            FROM long GROUP BY feature) r USING (feature),
+                 range(0, 80) p) g) e""")])
     SQL["target_summary"] = with_roles(["train"], f"""
 SELECT {r4('min(target)')} AS min, {r4('quantile_cont(target, 0.25)')} AS q1,
  {r4('quantile_cont(target, 0.5)')} AS median, {r4('avg(target)')} AS mean,

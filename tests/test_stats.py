@@ -59,17 +59,75 @@ def test_split_sizes(spark, sf_small):
     assert s.select("card_id", "part").exceptAll(other.select("card_id", "part")).count() > 0
 
 
-def test_loess_reproduces_quadratics_and_smooths_noise():
+def _series(spark, name, days, values):
+    import datetime as dt
+    start = dt.date(2010, 1, 1)
+    return spark.createDataFrame(
+        [(name, None if d is None else start + dt.timedelta(days=int(d)),
+          None if v is None else float(v)) for d, v in zip(days, values)],
+        "feature string, first_active_month date, value double")
+
+
+def _brute_fit(x, y, at, span=0.75):
+    """Weighted least squares at each point, straight from the definition."""
+    import numpy as np
+    q = min(len(x), max(3, int(len(x) * span)))
+    out = []
+    for x0 in at:
+        dist = np.abs(x - x0)
+        h = np.sort(dist)[q - 1] * max(span, 1.0)
+        w = np.sqrt((1 - np.clip(dist / h, 0, 1) ** 3) ** 3)
+        out.append(np.linalg.lstsq(np.vander(x - x0, 3) * w[:, None], y * w, rcond=None)[0][2])
+    return np.array(out)
+
+
+def test_smoother_equals_least_squares_reproduces_quadratics_and_smooths_noise(spark):
     import numpy as np
-    x = np.arange(30, dtype=float)
-    y = 0.5 * x ** 2 - 3 * x + 2
-    grid = np.linspace(0, 29, 80)
-    fit = stats.loess_fit(x, y, grid)
-    assert np.allclose(fit, 0.5 * grid ** 2 - 3 * grid + 2, atol=1e-6)
-    rng = np.random.default_rng(0)
-    noisy = y + rng.normal(0, 5, size=30)
-    sm = stats.loess_fit(x, noisy, x)
-    assert np.abs(sm - y).mean() < np.abs(noisy - y).mean()
+    x = np.cumsum(np.array([31, 28, 31, 30, 31, 30] * 5)).astype(float)
+    y = 0.5 * (x / 30) ** 2 - 3 * (x / 30) + 2
+    noisy = y + np.random.default_rng(0).normal(0, 5, size=30)
+    long = _series(spark, "exact", x, y).union(_series(spark, "noisy", x, noisy))
+    for span in (0.3, 0.75, 1.5):
+        got = stats.smooth_series(long, span=span).orderBy("point").toPandas()
+        grid = got[got.feature == "exact"]["x_days"].to_numpy()
+        at = grid - grid[0] + x[0]
+        assert np.allclose(at, np.linspace(x[0], x[-1], 80))
+        assert np.allclose(got[got.feature == "exact"]["fit"],
+                           0.5 * (at / 30) ** 2 - 3 * (at / 30) + 2, atol=1e-6)
+        fit = got[got.feature == "noisy"]["fit"].to_numpy()
+        assert np.allclose(fit, _brute_fit(x, noisy, at, span), atol=1e-6)
+    months = _series(spark, "noisy", x, noisy)
+    smooth = stats.smooth_series(months).orderBy("point").toPandas()["fit"].to_numpy()
+    true = 0.5 * (at / 30) ** 2 - 3 * (at / 30) + 2
+    assert np.abs(smooth - true).mean() < np.abs(noisy - y).mean()
+
+
+def test_smoother_with_few_repeated_or_missing_dates(spark):
+    cases = {"one": ([5], [7.0], 7.0), "two": ([0, 10], [2.0, 4.0], 3.0),
+             "same": ([3, 3, 3, 3], [1.0, 2.0, 3.0, 6.0], 3.0),
+             "ends": ([0, 0, 10, 10], [1.0, 3.0, 5.0, 7.0], None)}
+    long = _series(spark, "gone", [None, 4], [1.0, None])
+    for name, (days, values, _) in cases.items():
+        long = long.union(_series(spark, name, days, values))
+    long = long.union(_series(spark, None, [0, 10], [1.0, 1.0])).withColumn("_lo", F.lit(1))
+    got = stats.smooth_series(long, points=5).toPandas()
+    assert set(got["feature"].dropna()) == set(cases) and len(got) == 25
+    for name, (_, _, mean) in cases.items():
+        fit = got[got.feature == name].sort_values("point")["fit"]
+        if mean is not None:
+            assert (abs(fit - mean) < 1e-9).all()
+        else:  # in the middle all four are at the bandwidth's distance: their mean
+            assert abs(fit.to_numpy() - [2.0, 2.0, 4.0, 6.0, 6.0]).max() < 2.01
+            assert abs(fit.iloc[2] - 4.0) < 1e-9 and fit.notna().all()
+    assert (got[got.feature.isna()]["fit"] == 1.0).all()
+    assert stats.smooth_series(long.limit(0), points=5).count() == 0
+
+
+def test_smoother_stays_in_the_engine(spark, sf_small):
+    t = fx.train(spark, sf_small)
+    out = stats.smooth_series(X.gather(X.month_target(t), ["first_active_month"], cast="double"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Pandas" not in plan and "Python" not in plan and "Cartesian" not in plan
 
 
 def test_smooth_series_points(spark, sf_small):
