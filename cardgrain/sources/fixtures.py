@@ -135,22 +135,31 @@ def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Saved bundle (the reference saves its loaded tables and loads them again)
 # ---------------------------------------------------------------------------
 
-_BUNDLES: dict[tuple[str, str], str] = {}
-_BUNDLE_LOCK = threading.Lock()
+SAVED = ("tx", "merchants", "merchants_dup", "cards")
+_SAVED: dict[tuple[str, str, str], str] = {}
+_SAVED_LOCK = threading.Lock()
 
 
-def bundle(spark: SparkSession, sf_dir: str) -> str:
-    """Write the role views once per application as parquet under the shared
-    checkpoint folder; return the folder.
+def bundle(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Save all of the role views; return the folder of each."""
+    return {name: saved(spark, sf_dir, name) for name in SAVED}
+
+
+def saved(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Folder of a role view, written as parquet under the shared checkpoint
+    folder when an application first asks for it.
 
     Transactions are written once, partitioned by period (``hist`` / ``new``),
     so the lineitem/orders/part joins run a single time and a later read of
     one period prunes to its folder. Every later plan starts from plain
-    parquet scans instead of re-running the joins in each of its branches.
+    parquet scans instead of re-running the joins in each of its branches; a
+    query on cards or merchants alone does not write the transactions.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    with _BUNDLE_LOCK:
-        return _BUNDLES.get(key) or _write_bundle(spark, sf_dir, key)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    with _SAVED_LOCK:
+        if key not in _SAVED:
+            _SAVED[key] = _save(spark, sf_dir, name)
+        return _SAVED[key]
 
 
 FILE_BYTES = 256 << 20
@@ -165,10 +174,13 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     return total
 
 
-def _write_bundle(spark: SparkSession, sf_dir: str, key: tuple[str, str]) -> str:
+def _save(spark: SparkSession, sf_dir: str, name: str) -> str:
     from cardgrain.session import checkpoint_dir
 
-    path = f"{checkpoint_dir(spark).rstrip('/')}/cardgrain-roles-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cardgrain-roles-{uuid.uuid4().hex}/{name}"
+    if name != "tx":
+        ROLES[name](spark, sf_dir).write.parquet(path)
+        return path
     tx = transactions(spark, sf_dir).withColumn(
         "period", F.when(F.col("month_lag") < 0, "hist").when(
             F.col("month_lag") >= 0, "new"))  # no period without a month lag
@@ -180,10 +192,7 @@ def _write_bundle(spark: SparkSession, sf_dir: str, key: tuple[str, str]) -> str
     size = input_bytes(spark, [f"{sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "part")])
     files = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-size // FILE_BYTES))
     (tx.repartition(files, "card_id", "l_orderkey", "l_linenumber")
-     .write.partitionBy("period").parquet(f"{path}/tx"))
-    for name in ("merchants", "merchants_dup", "cards"):
-        ROLES[name](spark, sf_dir).write.parquet(f"{path}/{name}")
-    _BUNDLES[key] = path
+     .write.partitionBy("period").parquet(path))
     return path
 
 
@@ -193,10 +202,9 @@ def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         c = stored(spark, sf_dir, "cards")
         return (c.filter(F.col("target").isNotNull()) if name == "train"
                 else c.filter(F.col("target").isNull()).drop("target"))
-    path = bundle(spark, sf_dir)
     if name in ("tx", "histdata", "newdata"):
-        tx = spark.read.parquet(f"{path}/tx")
+        tx = spark.read.parquet(saved(spark, sf_dir, "tx"))
         if name != "tx":
             tx = tx.filter(F.col("period") == ("hist" if name == "histdata" else "new"))
         return tx.drop("period")
-    return spark.read.parquet(f"{path}/{name}")
+    return spark.read.parquet(saved(spark, sf_dir, name))

@@ -71,3 +71,24 @@ def test_models_score_every_row_with_finite_predictions(spark, sf_small):
     base = feats.agg(F.stddev_pop("target")).first()[0]
     assert rmse <= base + 1e-9
     assert M.score(rf, feats).count() == feats.count()
+
+
+def test_role_views_are_saved_when_first_asked_for(spark, sf_small, tmp_path):
+    import os
+    folder = tmp_path / "tables"
+    folder.mkdir()
+    for t in ("customer", "orders", "lineitem", "part", "supplier"):
+        os.symlink(f"{sf_small}/{t}.parquet", folder / f"{t}.parquet")
+
+    def names():
+        return {k[2] for k in fx._SAVED if k[1] == str(folder)}
+
+    assert fx.stored(spark, str(folder), "train").count() == fx.train(spark, sf_small).count()
+    assert names() == {"cards"}
+    path = fx.saved(spark, str(folder), "cards")
+    fx.stored(spark, str(folder), "test").count()
+    assert fx.saved(spark, str(folder), "cards") == path and names() == {"cards"}
+    hist = fx.stored(spark, str(folder), "histdata")
+    assert hist.count() == fx.histdata(spark, sf_small).count()
+    assert names() == {"cards", "tx"}
+    assert set(fx.bundle(spark, str(folder))) == set(fx.SAVED) == names()
