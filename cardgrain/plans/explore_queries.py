@@ -294,8 +294,10 @@ def stream_term_hist(spark, d):
 
     base = files.scratch_path(spark, "stream")
     src = f"{base}/source"
-    # The stream source: the historical transactions, written as parquet files.
-    _r(spark, d, "histdata").write.parquet(src)
+    # The stream source: the historical transactions, written as parquet files, at
+    # most one per core: every micro-batch updates nearly all cards, so their number
+    # must not grow with the table.
+    _r(spark, d, "histdata").coalesce(spark.sparkContext.defaultParallelism).write.parquet(src)
     agg = term_stream(read_transaction_stream(spark, src, schemas.TRANSACTIONS, 2))
     out = run_to_table(agg, f"{base}/table", f"{base}/checkpoint")
     return spark.read.parquet(out)

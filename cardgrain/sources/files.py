@@ -128,8 +128,9 @@ def write_bundle(tables: Mapping[str, DataFrame], path: str) -> str:
 
     Every table goes into a folder of its own; the version is there once the
     last step has added its list of folders to ``manifests`` (one file, put in place by
-    a rename). A write that ends before leaves the older version in use. Files are
-    sized by bytes: AQE cuts and merges partitions to its advisory size.
+    a rename). A write that ends before leaves the older version in use. Rows are
+    written from the tasks that have them, without an exchange: scans and AQE
+    size those by bytes.
     """
     spark = next(iter(tables.values())).sparkSession
     versions = _manifest(spark, path)
@@ -137,7 +138,7 @@ def write_bundle(tables: Mapping[str, DataFrame], path: str) -> str:
     rows = []
     for name, df in tables.items():
         folder = f"{name}-{version:06d}-{uuid.uuid4().hex}"
-        df.hint("rebalance").write.parquet(f"{path}/{folder}")
+        df.write.parquet(f"{path}/{folder}")
         rows.append((version, name, folder))
     (spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}/manifests"))
     return path

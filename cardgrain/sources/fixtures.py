@@ -30,26 +30,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _transactions(spark: SparkSession, sf_dir: str, period: Column | None) -> DataFrame:
+def _transactions(spark: SparkSession, sf_dir: str, period: Column | None, shuffled: bool = False) -> DataFrame:
     l = table(spark, sf_dir, "lineitem")
     if period is not None:
         l = l.filter(period)
+    # Flags are told before the joins, as bits of one number: the rows that the
+    # joins move are half as wide.
+    bits = [F.col("l_linestatus") == "F", F.col("l_quantity") > 40, F.col("l_tax") >= 0.075,
+            F.col("l_returnflag") == "A", F.col("l_returnflag") == "N", F.col("l_discount") >= 0.095]
+    flags = sum((F.when(b, 1 << i).otherwise(0) for i, b in enumerate(bits)), F.lit(0))
+    l = l.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate",
+                 flags.alias("_flags"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    if shuffled:
+        l = l.hint("shuffle_merge")
     j = l.join(o, l.l_orderkey == o.o_orderkey).join(p, l.l_partkey == p.p_partkey)
     ship = F.col("l_shipdate")
+
+    def flag(i: int) -> Column:
+        return F.col("_flags").bitwiseAND(F.lit(1 << i)) != 0
+
     return j.select(
         F.col("o_custkey").alias("card_id"),
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.when(F.col("l_suppkey") % 25 == 7, F.lit(None)).otherwise(F.col("l_suppkey"))
         .alias("merchant_id"),
         F.col("p_size").alias("merchant_category_id"),
-        F.when(F.col("l_linestatus") == "F", "Y").otherwise("N").alias("authorized_flag"),
-        F.when(F.col("l_quantity") > 40, "Y").otherwise("N").alias("category_1"),
-        F.when(F.col("l_tax") >= 0.075, F.lit(None).cast("int"))
+        F.when(flag(0), "Y").otherwise("N").alias("authorized_flag"),
+        F.when(flag(1), "Y").otherwise("N").alias("category_1"),
+        F.when(flag(2), F.lit(None).cast("int"))
         .otherwise(F.substring("o_orderpriority", 1, 1).cast("int")).alias("category_2"),
-        F.when(F.col("l_returnflag") == "A", "A").when(F.col("l_returnflag") == "N", "B")
-        .when(F.col("l_discount") >= 0.095, F.lit(None)).otherwise("C").alias("category_3"),
+        F.when(flag(3), "A").when(flag(4), "B")
+        .when(flag(5), F.lit(None)).otherwise("C").alias("category_3"),
         F.when(F.col("l_linenumber") == 7, F.lit(None).cast("int"))
         .otherwise(F.col("l_linenumber")).alias("installments"),
         F.col("l_extendedprice").alias("purchase_amount"),
@@ -181,18 +194,27 @@ def _save(spark: SparkSession, sf_dir: str, name: str) -> str:
     if name != "tx":
         ROLES[name](spark, sf_dir).write.parquet(path)
         return path
-    tx = transactions(spark, sf_dir).withColumn(
-        "period", F.when(F.col("month_lag") < 0, "hist").when(
-            F.col("month_lag") >= 0, "new"))  # no period without a month lag
-    # As many files per period as shuffle partitions, so later scans are
-    # parallel even when a driver table is a single row group. The hash
-    # includes the order key, so a card holding a third of all rows is
-    # spread over every file instead of becoming one huge write task.
-    # From a certain size on, their number follows the bytes read.
+    # Rows leave the join with orders dealt by order key, over as many tasks as
+    # shuffle partitions also where a driver table is a single row group, and
+    # a card that holds a third of all rows is spread with its orders: they are
+    # written from there, without another exchange. From a certain size on,
+    # the number of tasks follows the bytes read.
     size = input_bytes(spark, [f"{sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "part")])
-    files = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-size // FILE_BYTES))
-    (tx.repartition(files, "card_id", "l_orderkey", "l_linenumber")
-     .write.partitionBy("period").parquet(path))
+    wanted = {"spark.sql.shuffle.partitions": str(max(
+        int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-size // FILE_BYTES))),
+        # A task writes its two or three periods side by side, unsorted.
+        "spark.sql.maxConcurrentOutputFileWriters": "4"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        tx = _transactions(spark, sf_dir, None, shuffled=True).withColumn(
+            "period", F.when(F.col("month_lag") < 0, "hist").when(
+                F.col("month_lag") >= 0, "new"))  # no period without a month lag
+        tx.write.partitionBy("period").parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return path
 
 
