@@ -194,7 +194,7 @@ def _save(spark: SparkSession, sf_dir: str, name: str) -> str:
     if name != "tx":
         ROLES[name](spark, sf_dir).write.parquet(path)
         return path
-    # Rows leave the join with orders dealt by order key, over as many tasks as
+    # Of large tables, rows leave the join with orders dealt by order key, over as many tasks as
     # shuffle partitions also where a driver table is a single row group, and
     # a card that holds a third of all rows is spread with its orders: they are
     # written from there, without another exchange. From a certain size on,
@@ -208,9 +208,12 @@ def _save(spark: SparkSession, sf_dir: str, name: str) -> str:
     try:
         for k, v in wanted.items():
             spark.conf.set(k, v)
-        tx = _transactions(spark, sf_dir, None, shuffled=True).withColumn(
+        large = size >= FILE_BYTES
+        tx = _transactions(spark, sf_dir, None, shuffled=large).withColumn(
             "period", F.when(F.col("month_lag") < 0, "hist").when(
                 F.col("month_lag") >= 0, "new"))  # no period without a month lag
+        if not large:  # joins may be broadcast here: deal the rows out
+            tx = tx.repartition(int(wanted["spark.sql.shuffle.partitions"]), "card_id", "l_orderkey", "l_linenumber")
         tx.write.partitionBy("period").parquet(path)
     finally:
         for k, v in before.items():
